@@ -5,9 +5,10 @@ from __future__ import annotations
 
 def queries() -> dict:
     """One query for each operator, over its whole table."""
-    from . import exact, langid, shard
+    from . import exact, langid, shard, simhash
 
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op2_sharding": shard.op2_sharding,
         "op6_exact_dedup": exact.op6_exact_dedup,
         "op7_language_id": langid.op7_language_id,
