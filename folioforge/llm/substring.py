@@ -302,3 +302,17 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return removal_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM s),
+f AS (SELECT k, min(doc_id) AS first FROM h GROUP BY k),
+c AS (SELECT DISTINCT doc_id, i + j AS pos FROM (SELECT h.doc_id, h.i FROM h JOIN f USING (k) WHERE first < doc_id), range(50) t(j)),
+g AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id),
+r AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+             CASE WHEN gone IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(gone, i)) END AS kept
+      FROM w LEFT JOIN g ON g.doc_id = w.doc_id)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM r
+"""
