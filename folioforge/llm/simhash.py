@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bin_values, free_name, map_text, materialize
@@ -37,41 +37,56 @@ SHINGLE = 4
 HASH_SEED = 42
 UNIT = 4096
 FAN = 8
+#: Wide fingerprints, for similarities that 64 bits cannot tell from chance.
+WIDE, WIDE_RADIUS, TABLES = 4, 44, 24
 _PAIRS = 1 << 19
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of a text in UTF-8, A-Z lower-cased, as an unsigned integer."""
-    words = (text or b"").lower().split()
-    n = len(words)
+def fingerprint(text: bytes | None, shingle: int = SHINGLE, words: int = 1) -> list[int]:
+    """SimHash of a text in UTF-8, A-Z lower-cased, as unsigned 64-bit words. The first word's hashes are XXH64 of the
+    shingles; those of further words are mixed from them."""
+    split = (text or b"").lower().split()
+    n = len(split)
     if not n:
-        return 0
-    joined = b" ".join(words)
-    if n <= shingle:
-        return xxhash.xxh64_intdigest(joined, HASH_SEED)
-    size = np.fromiter(map(len, words), dtype=np.int64, count=n)
-    end = np.cumsum(size + 1) - 1
-    start = (end - size)[: n - shingle + 1].tolist()
-    stop = end[shingle - 1 :].tolist()
+        return [0] * words
+    joined = b" ".join(split)
     digest = xxhash.xxh64_digest
-    sums = np.zeros(64, dtype=np.int64)
-    hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(start, stop, strict=True)]
+    if n <= shingle:
+        hashes = [digest(joined, HASH_SEED)]
+    else:
+        size = np.fromiter(map(len, split), dtype=np.int64, count=n)
+        end = np.cumsum(size + 1) - 1
+        start = (end - size)[: n - shingle + 1].tolist()
+        stop = end[shingle - 1 :].tolist()
+        hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(start, stop, strict=True)]
+    sums = np.zeros((words, 64), dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
-        part = np.frombuffer(b"".join(hashes[i : i + (1 << 14)]), dtype=np.uint8).reshape(-1, 8)
-        sums += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * sums > len(hashes)).tobytes(), "big")
+        part = np.frombuffer(b"".join(hashes[i : i + (1 << 14)]), dtype=">u8")
+        for j in range(words):
+            own = part if not j else _remix(part.astype(np.uint64), j).astype(">u8")
+            sums[j] += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    bits = np.packbits(2 * sums > len(hashes), axis=1)
+    return [int.from_bytes(x.tobytes(), "big") for x in bits]
+
 
+def _remix(h: np.ndarray, j: int) -> np.ndarray:
+    h = h ^ np.uint64(j * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
-def with_fingerprint(df: DataFrame, text_col: str, name: str, shingle: int = SHINGLE) -> DataFrame:
-    """df without its text, with the fingerprint as a signed long."""
+
+def with_fingerprint(df: DataFrame, text_col: str, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """df without its text, with the fingerprint as signed longs w0, w1, ..."""
     fields = [f for f in df.schema.fields if f.name != text_col]
     names = [f.name for f in fields]
+    new = [f"w{j}" for j in range(words)]
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(x, shingle) for x in bin_values(batch.column(text_col))], dtype=np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(fps)], [*names, name])
+        fps = np.array([fingerprint(x, shingle, words) for x in bin_values(batch.column(text_col))], dtype=np.uint64).reshape(-1, words).view(np.int64)
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(np.ascontiguousarray(fps[:, j])) for j in range(words))], [*names, *new])
 
-    return map_text(df, text_col, f, ", ".join([*(f"`{x.name}` {x.dataType.simpleString()}" for x in fields), f"`{name}` long"]))
+    return map_text(df, text_col, f, ", ".join([*(f"`{x.name}` {x.dataType.simpleString()}" for x in fields), *(f"{x} long" for x in new)]))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -82,19 +97,25 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _ones(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+
+
 class GrayTree:
-    """Levels of (shared mask, shared value, first member, past last member), leaves first; members in Gray order."""
+    """Levels of (shared mask, shared value, first member, past last member), leaves first; members in Gray order.
+    Codes are rows of 64-bit words, ordered by their words' Gray ranks."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
+        self.order = np.lexsort([gray_rank(codes[:, j]) for j in range(codes.shape[1])][::-1])
+        codes = codes[self.order]
         n = len(codes)
         at = np.arange(n)
-        self.levels = [(np.full(n, ~np.uint64(0)), self.codes, at, at + 1)]
+        self.levels = [(np.full(codes.shape, ~np.uint64(0)), codes, at, at + 1)]
         while len(self.levels[-1][0]) > 1:
             mask, value, lo, hi = self.levels[-1]
             cut = np.arange(0, len(mask), FAN)
-            first = np.repeat(value[cut], np.diff(np.append(cut, len(mask))))
-            shared = np.bitwise_and.reduceat(mask & ~(value ^ first), cut)
+            first = np.repeat(value[cut], np.diff(np.append(cut, len(mask))), axis=0)
+            shared = np.bitwise_and.reduceat(mask & ~(value ^ first), cut, axis=0)
             self.levels.append((shared, value[cut] & shared, lo[cut], np.append(hi[cut[1:] - 1], hi[-1])))
 
 
@@ -128,11 +149,13 @@ class Forest:
 
 
 def join_trees(left: GrayTree, right: GrayTree | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (code, code of a component's label) of a forest over links between two trees, or inside one."""
+    """Edges (member, member whose label it has) of a forest over links between two trees, or inside one. Members count
+    in the order in which codes were given, those of the right tree after those of the left."""
     own = right is None
     right = right or left
-    shift = 0 if own else len(left.codes)
-    forest = Forest(len(left.codes) + (0 if own else len(right.codes)))
+    bits = 64 * left.levels[0][1].shape[1]
+    shift = 0 if own else len(left.order)
+    forest = Forest(len(left.order) + (0 if own else len(right.order)))
     top, rtop = len(left.levels) - 1, len(right.levels) - 1
     stack = [(top, rtop, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while stack:
@@ -140,10 +163,10 @@ def join_trees(left: GrayTree, right: GrayTree | None, radius: int = RADIUS) ->
         lm, lv, llo, lhi = left.levels[i]
         rm, rv, rlo, rhi = right.levels[j]
         both = lm[a] & rm[b]
-        apart = np.bitwise_count((lv[a] ^ rv[b]) & both).astype(np.int64)
+        apart = _ones((lv[a] ^ rv[b]) & both)
         near = apart <= radius
         a, b, both, apart = a[near], b[near], both[near], apart[near]
-        whole = apart + 64 - np.bitwise_count(both).astype(np.int64) <= radius
+        whole = apart + bits - _ones(both) <= radius
         if whole.any():
             x, y = a[whole], b[whole]
             for lo, hi, to in ((llo[x], lhi[x], rlo[y] + shift), (rlo[y] + shift, rhi[y] + shift, llo[x])):
@@ -171,30 +194,42 @@ def join_trees(left: GrayTree, right: GrayTree | None, radius: int = RADIUS) ->
                 ok &= x <= y
             if ok.any():
                 stack.append((ni, nj, x[ok], y[ok]))
-    codes = left.codes if own else np.concatenate([left.codes, right.codes])
-    linked = np.flatnonzero(forest.label != np.arange(len(codes)))
-    return codes[linked], codes[forest.label[linked]]
+    given = left.order if own else np.concatenate([left.order, right.order + shift])
+    linked = np.flatnonzero(forest.label != np.arange(len(given)))
+    return given[linked], given[forest.label[linked]]
+
+
+def block_keys(radius: int = RADIUS) -> list[Column]:
+    """Unit keys of one-word fingerprints: the bits of radius + 1 blocks, one of which two linked fingerprints share."""
+    ends = [64 * i // (radius + 1) for i in range(radius + 2)]
+    return [F.shiftrightunsigned("w0", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(ends, ends[1:], strict=False)]
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 1 blocks that make up 64 bits."""
-    n = radius + 1
-    ends = [64 * i // n for i in range(n + 1)]
-    return [(64 - hi, hi - lo) for lo, hi in zip(ends, ends[1:], strict=False)]
+def wide_keys() -> list[Column]:
+    """Unit keys of wide fingerprints: TABLES samples of 14 bits, 7 from each of two words."""
+    out = []
+    for t in range(TABLES):
+        a = t % WIDE
+        b = (a + 1 + t // WIDE % (WIDE - 1)) % WIDE
+        part = [F.shiftrightunsigned(f"w{w}", s).bitwiseAND(F.lit(127)) for w, s in ((a, t * 7 % 57), (b, (t * 11 + 3) % 57))]
+        out.append(part[0] * 128 + part[1])
+    return out
 
 
-def _units(radius: int):
+def _units(radius: int, words: int):
+    names = ["k", "x", "y", "side", "id", *(f"w{j}" for j in range(words))]
+
     def run(batches):
-        """Rows come sorted by unit and side; a unit is held in memory while it is searched."""
+        """Rows come sorted by unit; a unit is held in memory while it is searched."""
         rest = None
         for b in batches:
-            rows = [b.column(c).to_numpy(zero_copy_only=False) for c in ("k", "x", "y", "side", "fp")]
+            rows = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
             if rest is not None:
                 rows = [np.concatenate(z) for z in zip(rest, rows, strict=True)]
             if not len(rows[0]):
                 continue
             change = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])) + 1
-            cut = [0, *change]
+            cut = [0, *change.tolist()]
             rest = [z[cut[-1] :] for z in rows]
             yield from found(rows, cut)
         if rest is not None:
@@ -202,77 +237,88 @@ def _units(radius: int):
 
     def found(rows, cut):
         us, vs = [], []
+        codes = np.stack(rows[5:], axis=1).view(np.uint64)
         for s, e in zip(cut, cut[1:], strict=False):
             if e - s < 2:
                 continue
-            fp = rows[4][s:e].view(np.uint64)
-            side = rows[3][s:e]
-            if rows[1][s] == rows[2][s]:
-                if e - s < 48:  # a small unit is a single leaf level
-                    i, j = np.triu_indices(e - s, 1)
-                    near = np.bitwise_count(fp[i] ^ fp[j]) <= radius
-                    u, v = fp[i[near]], fp[j[near]]
-                else:
-                    u, v = join_trees(GrayTree(fp), None, radius)
-            else:
-                l, r = fp[side == 0], fp[side == 1]
-                if not len(l) or not len(r):
+            fp, ids, side = codes[s:e], rows[4][s:e], rows[3][s:e]
+            if rows[1][s] != rows[2][s]:
+                order = np.argsort(side, kind="stable")
+                n = int((side == 0).sum())
+                if not n or n == e - s:
                     continue
-                u, v = join_trees(GrayTree(l), GrayTree(r), radius)
-            us.append(u)
-            vs.append(v)
+                fp, ids = fp[order], ids[order]
+                u, v = join_trees(GrayTree(fp[:n]), GrayTree(fp[n:]), radius)
+            elif e - s < 48:  # a small unit is a single leaf level
+                i, j = np.triu_indices(e - s, 1)
+                near = _ones(fp[i] ^ fp[j]) <= radius
+                u, v = i[near], j[near]
+            else:
+                u, v = join_trees(GrayTree(fp), None, radius)
+            us.append(ids[u])
+            vs.append(ids[v])
         if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).view(np.int64)) for z in (us, vs)], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (us, vs)], ["u", "v"])
 
     return run
 
 
-def link_edges(fps: DataFrame, radius: int = RADIUS, unit: int = UNIT) -> DataFrame:
-    """Edges u, v whose components are those of all links between the distinct fingerprints in column fp."""
-    keys = F.array(*[F.lit(t).cast("long") * (1 << 40) + F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for t, (s, w) in enumerate(_blocks(radius))])
-    rows = fps.select("fp", F.explode(keys).alias("k"))
+def link_edges(fps: DataFrame, keys: list[Column], radius: int = RADIUS, words: int = 1, unit: int = UNIT) -> DataFrame:
+    """Edges u, v between ids whose components are those of all links found between the distinct fingerprints of fps
+    (columns id, w0, ...)."""
+    code = [f"w{j}" for j in range(words)]
+    tagged = F.array(*[F.lit(t).cast("long") * (1 << 40) + k for t, k in enumerate(keys)])
+    rows = fps.select("id", *code, F.explode(tagged).alias("k"))
     hot = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > unit)
     hot = hot.select("k", F.ceil(F.col("n") / unit).cast("int").alias("c"))
-    # At most 2^13 keys a block and five blocks, so hot has at most 40,960 rows of 12 bytes at any input size.
+    # A key has at most 14 bits, so hot has at most 16,384 rows of 12 bytes a table at any input size.
     rows = rows.join(F.broadcast(hot), "k", "left").withColumn("c", F.coalesce("c", F.lit(1)))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("c")).cast("int"))
-    rows = rows.select("k", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
-    rows = rows.select("k", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("c")).cast("int"))
+    rows = rows.select("k", "id", *code, "own", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
+    rows = rows.select("k", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "id", *code)
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "k", "x", "y").sortWithinPartitions("k", "x", "y").mapInArrow(_units(radius), "u long, v long")
-
+    return rows.repartition(n, "k", "x", "y").sortWithinPartitions("k", "x", "y").mapInArrow(_units(radius, words), "u long, v long")
 
-def near_components(fps: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", radius: int = RADIUS) -> DataFrame:
-    """fp, component_id for every distinct fingerprint."""
-    fps = fps.select(F.col(id_col).alias("_id"), F.col(fp_col).alias("fp"))
-    distinct = fps.groupBy("fp").agg(F.min("_id").alias("_least"))
-    linked = components(link_edges(distinct.select("fp"), radius))
-    named = distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "_least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    return named.join(least, "root").select("fp", "component_id")
 
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1) -> DataFrame:
+    """doc_id, text_hash, w0, ... (signed), component_id for every row.
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, text_hash, fp (signed), component_id for every row."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    rows = materialize(with_fingerprint(rows, "text", "fp", shingle))
-    return rows.join(near_components(rows, "doc_id", "fp", radius), "fp").select("doc_id", "text_hash", "fp", "component_id")
+    One-word fingerprints are searched exactly. Wide ones (WIDE words) are searched in the units of TABLES bit
+    samples and compared in all their bits.
+    """
+    code = [f"w{j}" for j in range(words)]
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    rows = materialize(with_fingerprint(rows, "text", shingle, words)).withColumn("id", F.col("w0") if words == 1 else F.xxhash64(*code))
+    distinct = rows.groupBy("id", *code).agg(F.min("doc_id").alias("_least"))
+    linked = components(link_edges(distinct.select("id", *code), block_keys(radius) if words == 1 else wide_keys(), radius, words))
+    named = distinct.join(linked, distinct["id"] == linked["node"], "left").select("id", "_least", F.coalesce("root", "id").alias("root"))
+    least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
+    named = named.join(least, "root").select("id", "component_id")
+    return rows.join(named, "id").select("doc_id", "text_hash", *code, "component_id")
 
 
-def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1) -> DataFrame:
     """The row with the smallest identifier of each component, with all columns of df.
 
     Of rows that repeat an identifier inside a component one stays; of all components without any
     identifier one row stays.
     """
-    kept = near_groups(df, id_col, text_col, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = near_groups(df, id_col, text_col, shingle, radius, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
     again, = free_name(df, "again")
-    both = df.join(kept, df[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(df[text_col]) == kept["_hash"]))
+    both = df.join(kept, df[id_col].cast("long").eqNullSafe(kept["_id"]) & (F.xxhash64(df[text_col]) == kept["_hash"]))
     first = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
     return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*df.columns)
 
 
+def keep_one_of_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of texts whose five-word shingles have a Jaccard similarity of about 0.8 or more.
+
+    At that similarity two 256-bit fingerprints differ in 39 bits on average; WIDE_RADIUS allows for one standard deviation.
+    """
+    return keep_one_of_each(df, id_col, text_col, 5, WIDE_RADIUS, WIDE)
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     out = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
