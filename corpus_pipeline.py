@@ -1,13 +1,18 @@
-"""Five stages from raw documents to packed training sequences, each one of the operators of folioforge.llm."""
+"""Five stages from raw documents to packed training sequences, each one of the operators of folioforge.llm.
+
+Every stage reads all rows that its predecessor kept and returns the columns of documents, but for the last,
+which returns where each piece of each document is packed. Stages accept what their operators accept: nulls in
+any column, empty tables, repeated rows and extra columns.
+"""
 
 from __future__ import annotations
 
-from folioforge.llm import exact, langid
+from folioforge.llm import exact, langid, packing, simhash, substring
 from folioforge.llm.common import materialize
 
 
 def language(spark, docs, sf_dir):
-    """Documents whose language can be told."""
+    """Documents whose language can be told; those without a letter go."""
     return langid.keep_identified(docs)
 
 
@@ -16,9 +21,30 @@ def exact_copies(spark, docs, sf_dir):
     return exact.drop_copies(docs)
 
 
-STAGES = [("language_id", language), ("exact_dedup", exact_copies)]
+def near_copies(spark, docs, sf_dir):
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    return simhash.keep_one_of_similar(docs)
+
+
+def repeated_passages(spark, docs, sf_dir):
+    """Texts without the passages of 50 words or more that a document with a smaller doc_id has."""
+    return substring.without_repeats(docs)
+
+
+def packed(spark, docs, sf_dir):
+    """Where each document's tokens go in sequences of 2048."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language),
+    ("exact_dedup", exact_copies),
+    ("simhash_near_dedup", near_copies),
+    ("substring_dedup", repeated_passages),
+    ("best_fit_packing", packed),
+]
 
-#: Language profiles, fingerprints over text, span removal and packing have no SQL form; tests use brute force.
+#: Language profiles, SimHash and packing have no SQL form; tests hold run() against brute force instead.
 ORACLE_SQL = None
 
 
