@@ -7,6 +7,8 @@ any column, empty tables, repeated rows and extra columns.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from folioforge.llm import exact, langid, packing, simhash, substring
 from folioforge.llm.common import materialize
 
@@ -27,8 +29,9 @@ def near_copies(spark, docs, sf_dir):
 
 
 def repeated_passages(spark, docs, sf_dir):
-    """Texts without the passages of 50 words or more that a document with a smaller doc_id has."""
-    return substring.without_repeats(docs)
+    """Texts without the passages of 50 words or more that a document with a smaller doc_id has; n_chars follows."""
+    out = substring.without_repeats(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 
 def packed(spark, docs, sf_dir):
