@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -10,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _OWN_DIR: list[str] = []
 
@@ -57,7 +60,18 @@ def bin_values(col: pa.Array) -> list[bytes | None]:
     return col.cast(kind).to_pylist() if col.type != kind else col.to_pylist()
 
 
-def sliced(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+#: Bytes of text that one Arrow batch and one step of numpy work hold.
+BATCH_BYTES = 2 << 20
+
+
+def _give_back() -> None:
+    """Free memory that a worker holds after a task, for the next operator's tasks run in the same worker."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def sliced(batch: pa.RecordBatch, text: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text, so that numpy work stays in bounded memory."""
     n = batch.num_rows
     if not n:
@@ -69,14 +83,24 @@ def sliced(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa
         yield batch.slice(a, b - a)
 
 
-def map_text(df: DataFrame, text: str, f: Callable, schema: str) -> DataFrame:
+def widened(fields: list, **more: str) -> StructType:
+    """A schema of fields and further columns by type name; field names may hold any character."""
+    out = StructType(list(fields))
+    for name, kind in more.items():
+        out = out.add(name, kind)
+    return out
+
+
+def map_text(df: DataFrame, text: str, f: Callable, schema: str | StructType) -> DataFrame:
     """mapInArrow over parts of bounded text size; f(batch) -> RecordBatch."""
 
     def run(batches):
         for batch in batches:
             for part in sliced(batch, text):
                 yield f(part)
+        _give_back()
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

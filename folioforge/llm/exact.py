@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bin_values, free_name, map_text, materialize
+from .common import bin_values, free_name, map_text, materialize, widened
 
 FAN_IN = 8
 _NONE = -(1 << 63)
@@ -33,7 +33,7 @@ _RUN = "digest binary, verifier long, lo long, hi long, n long"
 def with_digest(df: DataFrame, text_col: str, digest: str, verifier: str, drop_text: bool = False) -> DataFrame:
     """Adds SHA-256 and a verifier of the text after lower-casing A-Z."""
     fields = [f for f in df.schema.fields if not (drop_text and f.name == text_col)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{digest}` binary", f"`{verifier}` long"])
+    schema = widened(fields, **{digest: "binary", verifier: "long"})
     names = [f.name for f in fields]
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -109,13 +109,13 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """The kept rows with all columns of df: texts move once, by identifier, which no group of copies can skew."""
-    digest, verifier, again = free_name(df, "digest", "verifier", "again")
+    digest, verifier, again, i, d, v = free_name(df, "digest", "verifier", "again", "_id", "_d", "_v")
     root = tree_merge(with_digest(df.select(id_col, text_col), text_col, digest, verifier, drop_text=True), id_col, digest, verifier)
-    root = root.select(F.col("hi" if keep == "largest" else "lo").alias("_id"), F.col("digest").alias("_d"), F.col("verifier").alias("_v"))
+    root = root.select(F.col("hi" if keep == "largest" else "lo").alias(i), F.col("digest").alias(d), F.col("verifier").alias(v))
     rows = with_digest(df, text_col, digest, verifier)
-    both = rows.join(root, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col(digest) == F.col("_d")) & (F.col(verifier) == F.col("_v")))
-    first = Window.partitionBy("_id", "_d", "_v").orderBy(F.lit(0))
-    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*df.columns)
+    both = rows.join(root, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(digest) == F.col(d)) & (F.col(verifier) == F.col(v)))
+    first = Window.partitionBy(i, d, v).orderBy(F.lit(0))
+    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

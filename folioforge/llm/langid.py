@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, map_text, unit_hash
+from .common import free_name, map_text, unit_hash, widened
 
 PROFILE = 300
 TRAIN_DOCS = 2000
@@ -136,7 +136,7 @@ def with_language(df: DataFrame, profiles: Profiles, text_col: str = "text", pre
     shared = df.sparkSession.sparkContext.broadcast(profiles)  # PROFILE ranks a language, whatever the input's size
     fields = [f for f in df.schema.fields if not (drop_text and f.name == text_col)]
     names = [f.name for f in fields]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{pred}` string", f"`{score}` double"])
+    schema = widened(fields, **{pred: "string", score: "double"})
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         got = [shared.value.predict(t) for t in batch.column(text_col).to_pylist()]
@@ -148,7 +148,7 @@ def with_language(df: DataFrame, profiles: Profiles, text_col: str = "text", pre
 def keep_identified(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     """Rows whose language can be told; those without a letter go."""
     pred, score = free_name(df, "lang_pred", "score")
-    return with_language(df, train(df, id_col, text_col, lang_col), text_col, pred, score).where(F.col(pred) != UND).select(*df.columns)
+    return with_language(df, train(df, id_col, text_col, lang_col), text_col, pred, score).where(F.col(pred) != UND).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bin_values, free_name, map_text, materialize
+from .common import bin_values, free_name, map_text, materialize, widened
 from .links import components
 
 RADIUS = 4
@@ -86,7 +86,7 @@ def with_fingerprint(df: DataFrame, text_col: str, shingle: int = SHINGLE, words
         fps = np.array([fingerprint(x, shingle, words) for x in bin_values(batch.column(text_col))], dtype=np.uint64).reshape(-1, words).view(np.int64)
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(np.ascontiguousarray(fps[:, j])) for j in range(words))], [*names, *new])
 
-    return map_text(df, text_col, f, ", ".join([*(f"`{x.name}` {x.dataType.simpleString()}" for x in fields), *(f"{x} long" for x in new)]))
+    return map_text(df, text_col, f, widened(fields, **{x: "long" for x in new}))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -303,12 +303,12 @@ def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Of rows that repeat an identifier inside a component one stays; of all components without any
     identifier one row stays.
     """
+    again, i, h = free_name(df, "again", "_id", "_hash")
     kept = near_groups(df, id_col, text_col, shingle, radius, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
-    again, = free_name(df, "again")
-    both = df.join(kept, df[id_col].cast("long").eqNullSafe(kept["_id"]) & (F.xxhash64(df[text_col]) == kept["_hash"]))
-    first = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
-    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*df.columns)
+    kept = kept.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias(h)).select(F.col("doc_id").alias(i), h)
+    both = df.join(kept, df[id_col].cast("long").eqNullSafe(kept[i]) & (F.xxhash64(df[text_col]) == kept[h]))
+    first = Window.partitionBy(i, h).orderBy(F.lit(0))
+    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def keep_one_of_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
