@@ -16,7 +16,7 @@ of that anchor's blocks. An owner stands for all later copies of its block, so a
 documents costs one block for each, and a boundary check for each distinct neighbourhood only. Factors of at
 least WINDOW words are exactly the runs of matching windows; their union is removed.
 
-Hashes: words by 128-bit XXH3; blocks and windows by two independent 64-bit polynomials.
+Hashes: two independent 64-bit polynomials over bytes and over words.
 
 Defined results: words are split at ASCII white space and kept unchanged; a null text has no words; rows with
 a null doc_id are neither changed nor a reference; rows with the same doc_id are no reference to each other;
@@ -26,15 +26,13 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bin_values, free_name, map_text
+from .common import bin_values, map_text, materialize, widened
 
 WINDOW = 50
 SEED = 8
@@ -48,31 +46,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-class _Words(dict):
-    """Word -> index into two arrays of hashes; emptied when it has grown past LIMIT, so memory is bounded."""
+#: White space that separates words: the space and U+0009 to U+000D.
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
-    LIMIT = 300_000
 
-    def __init__(self):
-        super().__init__()
-        self.one, self.two = array("Q"), array("Q")
+def _word_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each word: polynomials over its bytes, all words' k-th bytes at once, longest words first."""
+    order = np.argsort(-size, kind="stable")
+    at = start[order]
+    left = np.searchsorted(-size[order], -np.arange(1, (size.max() if len(size) else 0) + 1), side="right")
+    one, two = size[order].astype(_U), size[order].astype(_U)
+    for k, n in enumerate(left.tolist()):
+        byte = data[at[:n] + k]
+        one[:n] = one[:n] * _U(_MULTIPLIERS[0]) + byte
+        two[:n] = two[:n] * _U(_MULTIPLIERS[1]) + byte
+    out = [np.empty_like(one), np.empty_like(two)]
+    out[0][order], out[1][order] = _mix(one), _mix(two)
+    return out
 
-    def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self.one)
-        h = xxhash.xxh3_128_intdigest(word)
-        self.one.append(h >> 64)
-        self.two.append(h & 0xFFFFFFFFFFFFFFFF)
-        return i
 
-    def hashes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > self.LIMIT:
-            self.clear()
-            self.one, self.two = array("Q"), array("Q")
-        at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        return np.array(self.one, dtype=_U)[at], np.array(self.two, dtype=_U)[at]
-
-
-_WORDS = _Words()
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -90,10 +83,18 @@ def _powers(m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Stream:
     """The words of several documents one after another, with hashes of any stretch of them."""
 
-    def __init__(self, words: list[bytes], ends: np.ndarray):
-        self.n, self.ends = len(words), ends
+    def __init__(self, texts: list[bytes | None]):
+        raw = b"\n".join(x or b"" for x in texts) + b"\n"
+        data = np.frombuffer(raw, dtype=np.uint8)
+        word = ~_SPACE[data]
+        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+        if word[0]:
+            edge = np.concatenate([[0], edge])
+        start, stop = edge[::2], edge[1::2]
+        self.n = len(start)
+        self.ends = np.searchsorted(start, np.cumsum([len(x or b"") + 1 for x in texts]))
         self.sums, self.back = [], []
-        for h, m in zip(_WORDS.hashes(words), _MULTIPLIERS, strict=True):
+        for h, m in zip(_word_hashes(data, start, stop - start), _MULTIPLIERS, strict=True):
             up, down = _powers(m, self.n + 1)
             self.sums.append(np.concatenate([np.zeros(1, dtype=_U), np.cumsum(h * up[: self.n], dtype=_U)]))
             self.back.append(down)
@@ -136,17 +137,15 @@ class Stream:
         return doc[cut], lo, hi, gram.view(np.int64), whole.view(np.int64)
 
 
-def _stream(batch: pa.RecordBatch, text: str) -> tuple[Stream, list[list[bytes]]]:
-    split = [(x or b"").split() for x in bin_values(batch.column(text))]
-    ends = np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
-    return Stream([w for x in split for w in x], ends), split
+def _stream(batch: pa.RecordBatch, text: str) -> Stream:
+    return Stream(bin_values(batch.column(text)))
 
 
 def block_index(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """doc_id, gram, whole for every block of every document (columns doc_id and text)."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, _, _, gram, whole = _stream(batch, "text")[0].blocks(window, seed)
+        doc, _, _, gram, whole = _stream(batch, "text").blocks(window, seed)
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[doc]
         return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(gram), pa.array(whole)], ["doc_id", "gram", "whole"])
 
@@ -198,25 +197,30 @@ def _window_rows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """doc_id and hashes of all windows at factor boundaries."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        stream, _ = _stream(batch, "text")
-        doc, lo, hi, gram, whole = stream.blocks(window, seed)
         states = _Lookup(batch.column("states"), ("gram", "whole", "check"))
-        at = states.find(doc, gram, whole)
+        doc_ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.unique(states.row[states.values[2] == 1])
+        if not len(rows):
+            return pa.RecordBatch.from_pylist([], schema=pa.schema([(c, pa.int64()) for c in ("doc_id", "one", "two")]))
+        stream = Stream(bin_values(batch.column("text").take(pa.array(rows))))
+        doc, lo, hi, gram, whole = stream.blocks(window, seed)
+        at = states.find(rows[doc], gram, whole)
         check = np.flatnonzero(at >= 0)
         check = check[states.values[2][at[check]] == 1]
         block, _, one, two = _boundary_windows(stream, lo[check], hi[check], window)
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc[check][block]]
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(one), pa.array(two)], ["doc_id", "one", "two"])
+        return pa.RecordBatch.from_arrays([pa.array(doc_ids[rows[doc[check][block]]]), pa.array(one), pa.array(two)], ["doc_id", "one", "two"])
 
     return map_text(docs, "text", f, "doc_id long, one long, two long")
 
 
 def _removed(batch: pa.RecordBatch, window: int, seed: int) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """The words of each row, the rows' ends, and which words go."""
-    stream, split = _stream(batch, "text")
-    cover = np.zeros(stream.n + 1, dtype=np.int64)
+    split = [(x or b"").split() for x in bin_values(batch.column("text"))]
     states = _Lookup(batch.column("states"), ("gram", "whole", "check"))
+    ends = np.cumsum([len(x) for x in split])
+    cover = np.zeros(int(ends[-1]) + 1, dtype=np.int64)
     if states.any.any():
+        stream = _stream(batch, "text")
         doc, lo, hi, gram, whole = stream.blocks(window, seed)
         at = states.find(doc, gram, whole)
         known = np.flatnonzero(at >= 0)
@@ -230,31 +234,36 @@ def _removed(batch: pa.RecordBatch, window: int, seed: int) -> tuple[list[list[b
             start = start[hits.find(doc[checked][block], one, two) >= 0]
             np.add.at(cover, start, 1)
             np.add.at(cover, start + window, -1)
-    return split, stream.ends, np.cumsum(cover[:-1]) > 0
+    return split, ends, np.cumsum(cover[:-1]) > 0
 
 
-def with_removed(docs: DataFrame, finish, schema: str, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+def with_removed(docs: DataFrame, finish, schema, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """finish(batch, words, ends, gone) over all rows; docs has the columns doc_id (long) and text, and any others."""
-    narrow = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    blocks = block_index(narrow, window, seed)
-    # Anchors of more than one document or block; partial sums come first, so a common one is a row a task.
+    blocks = block_index(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), window, seed)
+    # Anchors of more than one document; partial sums come first, so a common one is a row a task.
     grams = blocks.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("hi > lo").select("gram")
-    shared = blocks.join(grams, "gram", "left_semi")
-    owners = shared.groupBy("gram", "whole").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-    kinds = owners.groupBy("gram").agg((F.min("whole") != F.max("whole")).alias("mixed"))
-    owners = owners.join(kinds, "gram").where("mixed OR last > owner").select(F.col("gram").alias("g"), F.col("whole").alias("w"), "owner", "mixed")
-    states = shared.join(owners, (F.col("gram") == F.col("g")) & (F.col("whole") == F.col("w")))
+    shared = materialize(blocks.join(grams, "gram", "left_semi"))
+    # A block's key is (whole, gram ^ whole): it is not partitioned like gram, so joins by gram end in an exchange and may be split.
+    shared = shared.withColumn("key", F.col("gram").bitwiseXOR(F.col("whole")))
+    owners = shared.groupBy("whole", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+    owners = owners.withColumn("gram", F.col("key").bitwiseXOR(F.col("whole")))
+    mixed = owners.groupBy("gram").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select(F.col("gram").alias("g"))
+    owners = owners.join(mixed, F.col("gram") == F.col("g"), "left").where("g IS NOT NULL OR last > owner")
+    owners = owners.select(F.col("whole").alias("w"), F.col("key").alias("k"), "owner", F.col("g").isNotNull().alias("mixed"))
+    states = shared.join(owners, (F.col("whole") == F.col("w")) & (F.col("key") == F.col("k")))
     states = states.where("doc_id > owner OR mixed").select("doc_id", "gram", "whole", (F.col("doc_id") == F.col("owner")).cast("int").alias("check"))
-    states = states.groupBy("doc_id").agg(F.collect_set(F.struct("gram", "whole", "check")).alias("states"))
+    states = materialize(states.groupBy("doc_id").agg(F.collect_set(F.struct("gram", "whole", "check")).alias("states")))
     states = states.select(F.col("doc_id").alias("_sid"), "states")
-    first = docs.join(states, docs["doc_id"] == states["_sid"], "left")
-    windows = _window_rows(first.where("exists(states, s -> s.check = 1)").select("doc_id", "text", "states"), window, seed)
+    # Both uses of `first` read the same columns of the same join, so the texts are shuffled once and the exchange is used again.
+    first = docs.join(states, docs["doc_id"] == states["_sid"], "left").drop("_sid")
+    first = first.withColumn("states", F.coalesce("states", F.expr(f"cast(array() as {_STATES})")))
+    windows = _window_rows(first, window, seed)
     least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("hi > lo")
     least = least.select(F.col("one").alias("o"), F.col("two").alias("t"), "lo")
     hits = windows.join(least, (F.col("one") == F.col("o")) & (F.col("two") == F.col("t")) & (F.col("doc_id") > F.col("lo")))
     hits = hits.groupBy("doc_id").agg(F.collect_set(F.struct("one", "two")).alias("hits")).select(F.col("doc_id").alias("_hid"), "hits")
-    both = first.join(hits, first["doc_id"] == hits["_hid"], "left").drop("_sid", "_hid")
-    both = both.withColumn("states", F.coalesce("states", F.expr(f"cast(array() as {_STATES})"))).withColumn("hits", F.coalesce("hits", F.expr(f"cast(array() as {_HITS})")))
+    both = first.join(hits, first["doc_id"] == hits["_hid"], "left").drop("_hid")
+    both = both.withColumn("hits", F.coalesce("hits", F.expr(f"cast(array() as {_HITS})")))
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         return finish(batch, *_removed(batch, window, seed))
@@ -286,18 +295,16 @@ def removal_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """df with repeated passages cut from its texts; a text that loses nothing stays as it was, others are
     their kept words joined by a space."""
-    box, = free_name(df, "row")
-    names = df.columns
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in names]).alias(box))
+    names = [c for c in df.columns if c != text_col]
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
 
     def finish(batch, split, ends, gone):
         texts = batch.column("text").to_pylist()
         new = [t if not n else b" ".join(w).decode() for t, (n, w) in zip(texts, _kept(split, ends, gone), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(box), pa.array(new, pa.string())], [box, "text"])
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], ["row", "text"])
 
-    inner = rows.schema[box].dataType.simpleString()
-    out = with_removed(rows, finish, f"`{box}` {inner}, text string", window, seed)
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"{box}.`{c}`").alias(c) for c in names])
+    out = with_removed(rows, finish, widened([rows.schema["row"]], text="string"), window, seed)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns])
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
