@@ -38,6 +38,7 @@ WINDOW = 50
 SEED = 8
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _U = np.uint64
+_SIDE = 0x5555555555555555
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -241,14 +242,16 @@ def with_removed(docs: DataFrame, finish, schema, window: int = WINDOW, seed: in
     """finish(batch, words, ends, gone) over all rows; docs has the columns doc_id (long) and text, and any others."""
     blocks = block_index(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), window, seed)
     # Anchors of more than one document; partial sums come first, so a common one is a row a task.
-    grams = blocks.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("hi > lo").select("gram")
-    shared = materialize(blocks.join(grams, "gram", "left_semi"))
+    grams = blocks.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("hi > lo")
+    # Joined by another expression than it was summed by, each side gets an exchange of its own, which Spark may split where hot.
+    other = F.col("gram").bitwiseXOR(F.lit(_SIDE))
+    shared = materialize(blocks.withColumn("_o", other).join(grams.select(other.alias("_o")), "_o", "left_semi").drop("_o"))
     # A block's key is (whole, gram ^ whole): it is not partitioned like gram, so joins by gram end in an exchange and may be split.
     shared = shared.withColumn("key", F.col("gram").bitwiseXOR(F.col("whole")))
     owners = shared.groupBy("whole", "key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     owners = owners.withColumn("gram", F.col("key").bitwiseXOR(F.col("whole")))
-    mixed = owners.groupBy("gram").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select(F.col("gram").alias("g"))
-    owners = owners.join(mixed, F.col("gram") == F.col("g"), "left").where("g IS NOT NULL OR last > owner")
+    mixed = owners.groupBy("gram").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select(other.alias("g"))
+    owners = owners.join(mixed, other == F.col("g"), "left").where("g IS NOT NULL OR last > owner")
     owners = owners.select(F.col("whole").alias("w"), F.col("key").alias("k"), "owner", F.col("g").isNotNull().alias("mixed"))
     states = shared.join(owners, (F.col("whole") == F.col("w")) & (F.col("key") == F.col("k")))
     states = states.where("doc_id > owner OR mixed").select("doc_id", "gram", "whole", (F.col("doc_id") == F.col("owner")).cast("int").alias("check"))
