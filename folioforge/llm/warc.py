@@ -138,10 +138,12 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
     first = first.select(F.col("d").alias("fd"), F.col("v").alias("fv"), F.col("z").alias("fz"), "first")
     mine = key.select("page_id", "d", "v", "z").join(first, (F.col("d") == F.col("fd")) & (F.col("v") == F.col("fv")) & (F.col("z") == F.col("fz")))
     mine = mine.groupBy("page_id", "d", "v").agg(F.first("first").alias("first")).select(F.col("page_id").alias("mp"), F.col("d").alias("md"), F.col("v").alias("mv"), F.col("first"), F.lit(True).alias("many"))
-    rows = page.join(mine, F.col("page_id").eqNullSafe(F.col("mp")) & (F.col("d") == F.col("md")) & (F.col("v") == F.col("mv")), "left")
-    rows = rows.select("page_id", "url", "html", "d", "v", "first", F.coalesce("many", F.lit(False)).alias("many"))
+    mine = mine.withColumn("mp", F.coalesce(F.col("mp").cast("string"), F.lit("")))
+    # Pages are dealt out before the join, by its own keys, so the join moves only its narrow side.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "page_id", "d", "v").sortWithinPartitions("page_id", "d", "v")
+    page = page.drop("z").withColumn("pk", F.coalesce(F.col("page_id").cast("string"), F.lit(""))).repartition(n, "pk", "d", "v")
+    rows = page.join(mine, (F.col("pk") == F.col("mp")) & (F.col("d") == F.col("md")) & (F.col("v") == F.col("mv")), "left")
+    rows = rows.select("page_id", "url", "html", "d", "v", "first", F.coalesce("many", F.lit(False)).alias("many")).sortWithinPartitions("page_id", "d", "v")
 
     def write(batches):
         from pyspark import TaskContext
