@@ -112,7 +112,7 @@ class Vocabulary:
 class Lattices(dict):
     """Unit -> number; lattices of all units in flat arrays. Units seen once are dropped when LIMIT is passed."""
 
-    LIMIT = 200_000
+    LIMIT = 150_000
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
