@@ -280,12 +280,8 @@ def link_edges(fps: DataFrame, keys: list[Column], radius: int = RADIUS, words:
     return rows.repartition(n, "k", "x", "y").sortWithinPartitions("k", "x", "y").mapInArrow(_units(radius, words), "u long, v long")
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1) -> DataFrame:
-    """doc_id, text_hash, w0, ... (signed), component_id for every row.
-
-    One-word fingerprints are searched exactly. Wide ones (WIDE words) are searched in the units of TABLES bit
-    samples and compared in all their bits.
-    """
+def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, words: int) -> DataFrame:
+    """doc_id, text_hash, w0, ... (signed), root, component_id for every row; root names the component."""
     code = [f"w{j}" for j in range(words)]
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     rows = materialize(with_fingerprint(rows, "text", shingle, words)).withColumn("id", F.col("w0") if words == 1 else F.xxhash64(*code))
@@ -293,22 +289,40 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     linked = components(link_edges(distinct.select("id", *code), block_keys(radius) if words == 1 else wide_keys(), radius, words))
     named = distinct.join(linked, distinct["id"] == linked["node"], "left").select("id", "_least", F.coalesce("root", "id").alias("root"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = named.join(least, "root").select("id", "component_id")
-    return rows.join(named, "id").select("doc_id", "text_hash", *code, "component_id")
+    named = named.join(least, "root").select("id", "root", "component_id")
+    return rows.join(named, "id").select("doc_id", "text_hash", *code, "root", "component_id")
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1) -> DataFrame:
+    """doc_id, text_hash, w0, ... (signed), component_id for every row.
+
+    One-word fingerprints are searched exactly. Wide ones (WIDE words) are searched in the units of TABLES bit
+    samples and compared in all their bits.
+    """
+    return _grouped(df, id_col, text_col, shingle, radius, words).drop("root")
+
+
+def _first_of_each(df: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row with the smallest identifier of each root of groups (doc_id, text_hash, root), with all columns of df.
+
+    The join's keys are the window's, so texts move once.
+    """
+    again, i, n, h, i2, n2, h2 = free_name(df, "again", "_id", "_none", "_hash", "_id2", "_none2", "_hash2")
+    kept = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k"))
+    kept = kept.select(F.coalesce("k.doc_id", F.lit(0)).alias(i2), F.col("k.n").alias(n2), F.col("k.text_hash").alias(h2))
+    ident = F.col(id_col).cast("long")
+    rows = df.select("*", F.coalesce(ident, F.lit(0)).alias(i), ident.isNull().alias(n), F.xxhash64(text_col).alias(h))
+    both = rows.join(kept, (F.col(i) == F.col(i2)) & (F.col(n) == F.col(n2)) & (F.col(h) == F.col(h2)))
+    first = Window.partitionBy(i, n, h).orderBy(F.lit(0))
+    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1) -> DataFrame:
     """The row with the smallest identifier of each component, with all columns of df.
 
-    Of rows that repeat an identifier inside a component one stays; of all components without any
-    identifier one row stays.
+    Exactly one row of each component stays, also where identifiers are null or repeat in other components.
     """
-    again, i, h = free_name(df, "again", "_id", "_hash")
-    kept = near_groups(df, id_col, text_col, shingle, radius, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias(h)).select(F.col("doc_id").alias(i), h)
-    both = df.join(kept, df[id_col].cast("long").eqNullSafe(kept[i]) & (F.xxhash64(df[text_col]) == kept[h]))
-    first = Window.partitionBy(i, h).orderBy(F.lit(0))
-    return both.withColumn(again, F.row_number().over(first)).where(F.col(again) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
+    return _first_of_each(df, _grouped(df, id_col, text_col, shingle, radius, words), id_col, text_col)
 
 
 def keep_one_of_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

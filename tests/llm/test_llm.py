@@ -142,6 +142,17 @@ def test_similar_texts_leave_one(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one_of_similar(df).collect()) == [1, 3]
 
 
+def test_each_component_keeps_one_row_whatever_its_identifier(spark):
+    texts = [prose(30 + i, 200) for i in range(6)]
+    near = texts[0] + " end"
+    rows = [(None, texts[0]), (None, near), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4]), (None, texts[4] + " end"), (None, texts[5]), (None, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for kept in (simhash.keep_one_of_each(df, radius=8), simhash.keep_one_of_similar(df)):
+        got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+        assert len(got) == 6 and {(7, texts[2]), (7, texts[3]), (8, texts[4]), (None, texts[1]), (None, texts[5])} < set(got)
+        assert sum(x in got for x in rows[:2]) == 1
+
+
 def brute_removed(rows):
     first = {}
     for i, t, *_ in rows:
