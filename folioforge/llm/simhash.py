@@ -39,26 +39,34 @@ UNIT = 4096
 FAN = 8
 #: Wide fingerprints, for similarities that 64 bits cannot tell from chance.
 WIDE, WIDE_RADIUS, TABLES = 4, 44, 24
+#: Least Jaccard similarity of two similar texts, as a fraction, and the shingles that a slice of a component holds (8 MB).
+SIMILAR, SLICE = (4, 5), 1 << 20
 _PAIRS = 1 << 19
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE, words: int = 1) -> list[int]:
-    """SimHash of a text in UTF-8, A-Z lower-cased, as unsigned 64-bit words. The first word's hashes are XXH64 of the
-    shingles; those of further words are mixed from them."""
+def shingle_digests(text: bytes | None, shingle: int = SHINGLE) -> list[bytes]:
+    """XXH64 digests of a text's word shingles, A-Z lower-cased; fewer words than a shingle make one, none make none."""
     split = (text or b"").lower().split()
     n = len(split)
     if not n:
-        return [0] * words
+        return []
     joined = b" ".join(split)
     digest = xxhash.xxh64_digest
     if n <= shingle:
-        hashes = [digest(joined, HASH_SEED)]
-    else:
-        size = np.fromiter(map(len, split), dtype=np.int64, count=n)
-        end = np.cumsum(size + 1) - 1
-        start = (end - size)[: n - shingle + 1].tolist()
-        stop = end[shingle - 1 :].tolist()
-        hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(start, stop, strict=True)]
+        return [digest(joined, HASH_SEED)]
+    size = np.fromiter(map(len, split), dtype=np.int64, count=n)
+    end = np.cumsum(size + 1) - 1
+    start = (end - size)[: n - shingle + 1].tolist()
+    stop = end[shingle - 1 :].tolist()
+    return [digest(joined[a:b], HASH_SEED) for a, b in zip(start, stop, strict=True)]
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE, words: int = 1) -> list[int]:
+    """SimHash of a text in UTF-8, A-Z lower-cased, as unsigned 64-bit words. The first word's hashes are XXH64 of the
+    shingles; those of further words are mixed from them."""
+    hashes = shingle_digests(text, shingle)
+    if not hashes:
+        return [0] * words
     sums = np.zeros((words, 64), dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = np.frombuffer(b"".join(hashes[i : i + (1 << 14)]), dtype=">u8")
@@ -325,12 +333,114 @@ def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _first_of_each(df, _grouped(df, id_col, text_col, shingle, radius, words), id_col, text_col)
 
 
-def keep_one_of_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of texts whose five-word shingles have a Jaccard similarity of about 0.8 or more.
+def similar_pairs(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (member, member whose label it has) of a forest over all pairs of sets whose Jaccard similarity is SIMILAR or
+    more; empty sets are alike.
 
-    At that similarity two 256-bit fingerprints differ in 39 bits on average; WIDE_RADIUS allows for one standard deviation.
+    First every set that has no leader yet is compared with all and leads those like it. A pair that is still in two
+    components has a member outside the largest one, so comparing each such set with all leaves out no pair.
+    """
+    num, den = SIMILAR
+    n = len(sets)
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    forest = Forest(n)
+    empty = np.flatnonzero(size == 0)
+    forest.link(empty[1:], empty[:-1])
+    ends = np.cumsum(size)
+    term = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    by_term = np.argsort(term, kind="stable")
+    doc = np.repeat(np.arange(n), size)[by_term]
+    start = np.concatenate([[0], np.cumsum(np.bincount(term))])
+
+    def like(i: int) -> np.ndarray:
+        t = term[ends[i] - size[i] : ends[i]]
+        count = start[t + 1] - start[t]
+        found = doc[np.repeat(start[t] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+        if 8 * len(found) > n:
+            common = np.bincount(found, minlength=n)
+            found = np.flatnonzero(common)
+            common = common[found]
+        else:
+            found, common = np.unique(found, return_counts=True)
+        return found[common * (num + den) >= num * (size[i] + size[found])]
+
+    def link(edges: list[tuple[int, np.ndarray]]) -> None:
+        if edges:
+            forest.link(np.repeat([i for i, _ in edges], [len(x) for _, x in edges]), np.concatenate([x for _, x in edges]))
+
+    led, leads, edges = size == 0, size == 0, []
+    for i in range(n):
+        if not led[i]:
+            leads[i] = True
+            near = like(i)
+            led[near] = True
+            edges.append((i, near))
+    link(edges)
+    largest = np.bincount(forest.label).argmax()
+    link([(i, like(i)) for i in np.flatnonzero(~leads & (forest.label != largest)).tolist()])
+    linked = np.flatnonzero(forest.label != np.arange(n))
+    return linked, forest.label[linked]
+
+
+def _verified(batches):
+    """Rows come sorted by unit (root, x, y); a unit is held in memory while its pairs are compared."""
+    at, ids, sets = None, [], []
+
+    def found():
+        u, v = similar_pairs(sets)
+        own = np.array(ids, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(own[u]), pa.array(own[v])], ["u", "v"])
+
+    for b in batches:
+        for *unit, i, grams in zip(*(b.column(c).to_pylist() for c in ("root", "x", "y", "text_hash", "grams")), strict=True):
+            if unit != at:
+                if len(ids) > 1:
+                    yield found()
+                at, ids, sets = unit, [], []
+            ids.append(i)
+            sets.append(np.frombuffer(grams, dtype=np.uint64))
+    if len(ids) > 1:
+        yield found()
+
+
+def similar_edges(df: DataFrame, groups: DataFrame, text_col: str, shingle: int, most: int = SLICE) -> DataFrame:
+    """Edges u, v between text hashes whose components are those of all pairs inside a root of groups (text_hash, root) that
+    have a Jaccard similarity of SIMILAR or more, compared by the 64-bit hashes of all their shingles.
+
+    A root with more than `most` shingles is dealt in slices, and every two slices meet in a unit of their own.
     """
-    return keep_one_of_each(df, id_col, text_col, 5, WIDE_RADIUS, WIDE)
+    texts = groups.select("text_hash", "root").distinct()
+    many = texts.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
+    open_ = texts.join(many, "root").select(F.col("text_hash").alias("h"), "root")
+    rows = df.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).join(open_, F.col("text_hash") == F.col("h"))
+    rows = rows.withColumn("again", F.row_number().over(Window.partitionBy("text_hash").orderBy(F.lit(0)))).where("again = 1").select("text_hash", "root", "text")
+
+    def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(np.frombuffer(b"".join(shingle_digests(x, shingle)), dtype=np.uint64)) for x in bin_values(batch.column("text"))]
+        return pa.RecordBatch.from_arrays([batch.column("text_hash"), batch.column("root"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["text_hash", "root", "n", "grams"])
+
+    rows = materialize(map_text(rows, "text", f, "text_hash long, root long, n long, grams binary"))
+    hot = rows.groupBy("root").agg(F.sum("n").alias("s")).where(F.col("s") > most).select(F.col("root").alias("r"), F.ceil(F.col("s") / most).cast("int").alias("c"))
+    rows = rows.join(hot, F.col("root") == F.col("r"), "left").withColumn("c", F.coalesce("c", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("text_hash"), F.col("c")).cast("int"))
+    rows = rows.select("root", "text_hash", "grams", "c", "own", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other")).where("c = 1 OR own <> other")
+    rows = rows.select("root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "text_hash", "grams")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "root", "x", "y").sortWithinPartitions("root", "x", "y").mapInArrow(_verified, "u long, v long")
+
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """doc_id, text_hash, root for every row; a root is a component of texts whose word shingles have a Jaccard similarity of
+    SIMILAR or more. Wide fingerprints only say which texts are compared: those of one component of their links."""
+    near = materialize(_grouped(df, id_col, text_col, shingle, WIDE_RADIUS, WIDE).select("doc_id", "text_hash", "root"))
+    linked = components(similar_edges(df, near, text_col, shingle)).withColumnRenamed("root", "least")
+    both = near.join(linked, near["text_hash"] == linked["node"], "left")
+    return both.select("doc_id", "text_hash", F.coalesce("least", "text_hash").alias("root"))
+
+
+def keep_one_of_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return _first_of_each(df, similar_groups(df, id_col, text_col), id_col, text_col)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

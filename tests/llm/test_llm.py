@@ -153,6 +153,47 @@ def test_each_component_keeps_one_row_whatever_its_identifier(spark):
         assert sum(x in got for x in rows[:2]) == 1
 
 
+def five_word_sets(texts):
+    split = [t.split() for t in texts]
+    return [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in split]
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def edited(seed, n, edits):
+    """A text of n words drawn at random, and a copy with some words changed, each far from the next."""
+    r = random.Random(seed)
+    a = [f"w{r.randrange(10**6)}" for _ in range(n)]
+    b = a.copy()
+    for k in range(edits):
+        b[10 + k * (n - 20) // max(1, edits)] = f"x{k}"
+    return " ".join(a), " ".join(b)
+
+
+def test_texts_below_the_similarity_stay(spark):
+    pairs = [edited(seed, 300, edits) for edits in (8, 9, 10) for seed in range(100 * edits, 100 * edits + 20)]
+    sims = [jaccard(*five_word_sets(p)) for p in pairs]
+    assert 0.7 < min(sims) and max(sims) < 0.78
+    df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string").repartition(3)
+    assert simhash.keep_one_of_similar(df).count() == 2 * len(pairs)
+
+
+@pytest.mark.parametrize("most", [1000, simhash.SLICE])
+def test_similar_edges_are_those_of_brute_force(spark, most):
+    texts = [t for seed in range(4) for k in range(0, 20, 2) for t in edited(seed, 100, k)[1:]] + ["", " ", "a b", "a b c", "A B"]
+    sets = [set() if not t.strip() else x for t, x in zip(texts, five_word_sets([t.lower() for t in texts]), strict=True)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = df.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(1).cast("long").alias("root"))
+    from folioforge.llm.links import components
+
+    roots = {x["node"]: x["root"] for x in components(simhash.similar_edges(df, rows, "text", 5, most)).collect()}
+    got = {r["doc_id"]: roots.get(r["text_hash"], r["text_hash"]) for r in rows.collect()}
+    want = brute_components(sets, list(range(len(sets))), lambda a, b: a == b or bool(a and b) and jaccard(a, b) >= 0.8)
+    assert len(set(want)) == len(set(got.values())) == len(set(zip(want, (got[i] for i in range(len(sets))), strict=True)))
+
+
 def brute_removed(rows):
     first = {}
     for i, t, *_ in rows:
