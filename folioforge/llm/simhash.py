@@ -38,7 +38,7 @@ HASH_SEED = 42
 UNIT = 4096
 FAN = 8
 #: Wide fingerprints, for similarities that 64 bits cannot tell from chance.
-WIDE, WIDE_RADIUS, TABLES = 4, 44, 24
+WIDE, WIDE_RADIUS, TABLES, SAMPLE_BITS = 4, 56, 54, 14
 #: Least Jaccard similarity of two similar texts, as a fraction, and the shingles that a slice of a component holds (8 MB).
 SIMILAR, SLICE = (4, 5), 1 << 20
 _PAIRS = 1 << 19
@@ -63,10 +63,13 @@ def shingle_digests(text: bytes | None, shingle: int = SHINGLE) -> list[bytes]:
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE, words: int = 1) -> list[int]:
     """SimHash of a text in UTF-8, A-Z lower-cased, as unsigned 64-bit words. The first word's hashes are XXH64 of the
-    shingles; those of further words are mixed from them."""
+    shingles; those of further words are mixed from them. One word counts a shingle as often as it occurs, several count
+    it once, as the Jaccard similarity does."""
     hashes = shingle_digests(text, shingle)
     if not hashes:
         return [0] * words
+    if words > 1:
+        hashes = list(set(hashes))
     sums = np.zeros((words, 64), dtype=np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = np.frombuffer(b"".join(hashes[i : i + (1 << 14)]), dtype=">u8")
@@ -156,6 +159,18 @@ class Forest:
         return out
 
 
+def to_least(u: np.ndarray, v: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A forest's edges (member, label) as edges from ids to the least id of their component. Units that hold parts of one
+    group then mostly name the same few ids, so that their edges repeat and distinct() drops them."""
+    label = np.arange(len(ids))
+    label[u] = v
+    least = ids.copy()
+    np.minimum.at(least, label, ids)
+    to = least[label]
+    other = to != ids
+    return ids[other], to[other]
+
+
 def join_trees(left: GrayTree, right: GrayTree | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Edges (member, member whose label it has) of a forest over links between two trees, or inside one. Members count
     in the order in which codes were given, those of the right tree after those of the left."""
@@ -213,15 +228,38 @@ def block_keys(radius: int = RADIUS) -> list[Column]:
     return [F.shiftrightunsigned("w0", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(ends, ends[1:], strict=False)]
 
 
+def bit_samples() -> np.ndarray:
+    """TABLES samples of SAMPLE_BITS bit positions of a wide fingerprint, cut from seeded shuffles of all positions, so that
+    the samples of one shuffle share no bit."""
+    out: list[list[int]] = []
+    turn = 0
+    while len(out) < TABLES:
+        order = sorted(range(64 * WIDE), key=lambda i: xxhash.xxh64_intdigest(f"{turn}:{i}", HASH_SEED))
+        out += [order[k : k + SAMPLE_BITS] for k in range(0, len(order) - SAMPLE_BITS + 1, SAMPLE_BITS)]
+        turn += 1
+    return np.array(out[:TABLES])
+
+
+def with_samples(fps: DataFrame) -> DataFrame:
+    """id, w0, ... of wide fingerprints, with their bits at bit_samples() as the array samples."""
+    code = [f"w{j}" for j in range(WIDE)]
+    at = bit_samples()
+    weight = 1 << np.arange(SAMPLE_BITS, dtype=np.int32)
+
+    def run(batches):
+        for b in batches:
+            words = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in code], axis=1).astype(">i8")
+            bits = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1)
+            keys = np.stack([bits[:, x] @ weight for x in at], axis=1).astype(np.int32)
+            ends = pa.array(np.arange(len(words) + 1, dtype=np.int32) * TABLES)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", *code)), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], ["id", *code, "samples"])
+
+    return fps.select("id", *code).mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in code) + ", samples array<int>")
+
+
 def wide_keys() -> list[Column]:
-    """Unit keys of wide fingerprints: TABLES samples of 14 bits, 7 from each of two words."""
-    out = []
-    for t in range(TABLES):
-        a = t % WIDE
-        b = (a + 1 + t // WIDE % (WIDE - 1)) % WIDE
-        part = [F.shiftrightunsigned(f"w{w}", s).bitwiseAND(F.lit(127)) for w, s in ((a, t * 7 % 57), (b, (t * 11 + 3) % 57))]
-        out.append(part[0] * 128 + part[1])
-    return out
+    """Unit keys of with_samples(): TABLES samples of SAMPLE_BITS bits."""
+    return [F.col("samples")[t].cast("long") for t in range(TABLES)]
 
 
 def _units(radius: int, words: int):
@@ -261,10 +299,17 @@ def _units(radius: int, words: int):
                 i, j = np.triu_indices(e - s, 1)
                 near = _ones(fp[i] ^ fp[j]) <= radius
                 u, v = i[near], j[near]
+                if len(u) > 1:
+                    forest = Forest(e - s)
+                    forest.link(u, v)
+                    u = np.flatnonzero(forest.label != np.arange(e - s))
+                    v = forest.label[u]
             else:
                 u, v = join_trees(GrayTree(fp), None, radius)
-            us.append(ids[u])
-            vs.append(ids[v])
+            if len(u):
+                u, v = to_least(u, v, ids)
+                us.append(u)
+                vs.append(v)
         if us:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (us, vs)], ["u", "v"])
 
@@ -294,7 +339,8 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, radius: in
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     rows = materialize(with_fingerprint(rows, "text", shingle, words)).withColumn("id", F.col("w0") if words == 1 else F.xxhash64(*code))
     distinct = rows.groupBy("id", *code).agg(F.min("doc_id").alias("_least"))
-    linked = components(link_edges(distinct.select("id", *code), block_keys(radius) if words == 1 else wide_keys(), radius, words))
+    fps = distinct.select("id", *code)
+    linked = components(link_edges(fps, block_keys(radius), radius) if words == 1 else link_edges(with_samples(fps), wide_keys(), radius, words))
     named = distinct.join(linked, distinct["id"] == linked["node"], "left").select("id", "_least", F.coalesce("root", "id").alias("root"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
     named = named.join(least, "root").select("id", "root", "component_id")
@@ -387,9 +433,8 @@ def _verified(batches):
     at, ids, sets = None, [], []
 
     def found():
-        u, v = similar_pairs(sets)
-        own = np.array(ids, dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(own[u]), pa.array(own[v])], ["u", "v"])
+        u, v = to_least(*similar_pairs(sets), np.array(ids, dtype=np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     for b in batches:
         for *unit, i, grams in zip(*(b.column(c).to_pylist() for c in ("root", "x", "y", "text_hash", "grams")), strict=True):

@@ -134,6 +134,14 @@ def test_simhash_units_lose_no_link(spark, unit):
     assert same([got.get(c, c) for c in codes]) == same(want)
 
 
+@pytest.mark.parametrize("n", [40, 200])
+def test_a_unit_returns_a_forest(spark, n):
+    codes = [1 << (i % 4) | 1 << (8 + i) % 64 for i in range(n)]
+    df = spark.createDataFrame([(i, c - 2**64 if c >= 2**63 else c) for i, c in enumerate(codes)], "id long, w0 long")
+    got = simhash.link_edges(df, [F.lit(0).cast("long")], 4).collect()
+    assert len(got) == n - 1 and {r["v"] for r in got} == {0} and {r["u"] for r in got} == set(range(1, n))
+
+
 def test_similar_texts_leave_one(spark):
     a = prose(20, 300).split()
     b = a.copy()
@@ -180,6 +188,24 @@ def test_texts_below_the_similarity_stay(spark):
     assert simhash.keep_one_of_similar(df).count() == 2 * len(pairs)
 
 
+def test_similar_groups_find_pairs_at_the_threshold(spark):
+    pairs = [edited(seed, 200, edits) for edits in (3, 4) for seed in range(1000 * edits, 1000 * edits + 100)]
+    r = random.Random(1)
+    for seed in range(100):  # at 0.80 to 0.81: words changed at the end
+        a = [f"w{r.randrange(10**6)}" for _ in range(200)]
+        pairs.append((" ".join(a), " ".join(a[:-21] + [f"y{seed}_{k}" for k in range(21)])))
+    sims = np.array([jaccard(*five_word_sets(p)) for p in pairs])
+    assert 0.8 <= sims.min() and (sims < 0.82).sum() >= 200
+    lines = " ".join(prose(50, 12) for _ in range(60))
+    pairs.append((prose(51, 200) + " " + lines, prose(51, 200) + " " + lines[: len(lines) // 10]))  # a line that repeats counts once
+    assert jaccard(*five_word_sets(pairs[-1])) >= 0.8
+    df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string").repartition(3)
+    kept = {x["doc_id"] for x in simhash.keep_one_of_similar(df).collect()}
+    found = [2 * i + 1 not in kept for i in range(len(pairs))]
+    assert all(2 * i in kept for i in range(len(pairs))) and found[-1]
+    assert np.mean([f for f, s in zip(found, sims, strict=False) if s < 0.82]) >= 0.96 and np.mean(found) >= 0.96
+
+
 @pytest.mark.parametrize("most", [1000, simhash.SLICE])
 def test_similar_edges_are_those_of_brute_force(spark, most):
     texts = [t for seed in range(4) for k in range(0, 20, 2) for t in edited(seed, 100, k)[1:]] + ["", " ", "a b", "a b c", "A B"]
@@ -373,3 +399,22 @@ def test_pipeline_stages(spark, sf):
     assert {r["doc_id"]: hashlib.sha256(" ".join(words(r["text"])).encode()).hexdigest() for r in d.collect()} == want
     e = f["best_fit_packing"](spark, d, sf)
     assert {r["doc_id"] for r in e.select("doc_id").distinct().collect()} == set(want)
+
+
+def test_pipeline_stages_against_jaccard(spark, sf):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    f = dict(p.STAGES)
+    b = f["exact_dedup"](spark, f["language_id"](spark, docs, sf), sf)
+    have = {r["doc_id"]: r["text"] for r in b.collect()}
+    split = {i: low(t).split() for i, t in have.items()}
+    sets = [{b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in split.values()]
+    comp = brute_components(sets, list(have), lambda x, y: jaccard(x, y) >= 0.8)
+    c = f["simhash_near_dedup"](spark, b, sf)
+    assert c.columns == docs.columns and {r["doc_id"]: r["text"] for r in c.collect()} == {i: have[i] for i in set(comp)} and len(set(comp)) < len(have)
+    d = f["substring_dedup"](spark, c, sf)
+    want = {r[0]: r[3] for r in brute_removed([(i, have[i]) for i in set(comp)])}
+    assert {r["doc_id"]: hashlib.sha256(" ".join(words(r["text"])).encode()).hexdigest() for r in d.collect()} == want
+    e = f["best_fit_packing"](spark, d, sf)
+    assert {r["doc_id"] for r in e.select("doc_id").distinct().collect()} == set(want)
