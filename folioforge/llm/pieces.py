@@ -2,7 +2,7 @@
 
 The lattice of a text has a node at each character and an edge for each vocabulary piece (for a character the
 vocabulary lacks, one edge of its UTF-8 byte pieces). An edge weighs -ALPHA ln(rank + 1), rank being the
-piece's place in the merge order, which is the model's score with its sign changed; a segmentation's probability
+piece's place in the merge order, which is the model's score with its sign changed (the number of pieces for one without); a segmentation's probability
 is in proportion to exp(sum of weights). Backward sums over the lattice turn weights into exact probabilities
 of the next piece at each node.
 
@@ -18,7 +18,7 @@ Random numbers are hashes of (seed, row key, place in the text, sample), so a ro
 how rows are dealt out. No piece crosses from a character to a space before a word, nor joins a character that
 occurs in no longer piece, so lattices are built for such units, once a worker for each in a bounded store.
 
-Defined results: a null or empty text has one segmentation, which is empty; fewer than k segmentations are all
+Defined results: a very long text is sampled whole, in memory of a multiple of its size; extra columns may have any name; a null or empty text has one segmentation, which is empty; fewer than k segmentations are all
 returned, with inclusion 1; spaces and the space mark decode to a space; null row keys count as key 0; rows
 that repeat get the same samples; an empty table gives no rows.
 """
@@ -52,6 +52,58 @@ def default_path() -> str:
     return public_tokenizers.path(DEFAULT_FILE)
 
 
+def plain(data: bytes) -> bytes:
+    """Pieces' characters as text: marks are spaces, and the first is none of the text's."""
+    data = data.replace(MARK.encode(), b" ")
+    return data[1:] if data[:1] == b" " else data
+
+
+class _Classes:
+    """Characters that share a piece, directly or over others, are in one class; a piece never crosses from class to class."""
+
+    MOST = 8
+
+    def __init__(self):
+        self.up: dict[str, str] = {}
+
+    def _root(self, c: str) -> str:
+        while self.up[c] != c:
+            self.up[c] = c = self.up[self.up[c]]
+        return c
+
+    def add(self, body: str) -> None:
+        for c in body:
+            self.up.setdefault(c, c)
+            self.up[self._root(c)] = self._root(body[0])
+
+    def groups(self) -> list[list[str]]:
+        """The MOST largest classes, and all others in one."""
+        found: dict[str, list[str]] = {}
+        for c in self.up:
+            found.setdefault(self._root(c), []).append(c)
+        ranked = sorted(found.values(), key=lambda x: (-len(x), x))
+        rest = [c for x in ranked[self.MOST :] for c in x]
+        return ranked[: self.MOST] + [rest] * bool(rest)
+
+
+class _Grown:
+    """An array that grows by half at least."""
+
+    def __init__(self, kind):
+        self.store, self.n = np.zeros(1 << 12, dtype=kind), 0
+
+    def add(self, x: np.ndarray) -> None:
+        n = self.n + len(x)
+        if n > len(self.store):
+            self.store = np.concatenate([self.store[: self.n], np.zeros(max(n, 3 * len(self.store) // 2) - self.n, dtype=self.store.dtype)])
+        self.store[self.n : n] = x
+        self.n = n
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.store[: self.n]
+
+
 class Vocabulary:
     """Pieces as a trie in arrays, their weights and their bytes."""
 
@@ -67,7 +119,7 @@ class Vocabulary:
         self.byte_weight = -alpha * math.log(size)
         step: dict[int, int] = {}
         of_node = [-1]
-        joined: set[str] = set()
+        joined = _Classes()
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -79,7 +131,10 @@ class Vocabulary:
             self.surface[i] = piece.encode()
             self.weight[i] = -alpha * math.log(max(0.0, -model.get_score(i)) + 1) if model.get_score(i) > -1e8 else self.byte_weight
             if len(piece) > 1:
-                joined.update(piece)
+                body = piece.lstrip(MARK)
+                if MARK in body:
+                    raise ValueError(f"piece {piece!r} has a space mark after another character")
+                joined.add(body)
             node = 0
             for c in map(ord, piece):
                 key = node << 21 | c
@@ -93,26 +148,30 @@ class Vocabulary:
         top = keys < 1 << 21
         self.first[keys[top]] = self.step_to[top]
         self.piece = np.array(of_node)
-        joined.discard(MARK)
-        inside = "".join(map(re.escape, sorted(joined)))
-        self.units = re.compile(f"{MARK}*[{inside}]+|{MARK}+|[^{MARK}{inside}]", re.DOTALL)
+        inside = ["".join(map(re.escape, sorted(x))) for x in joined.groups()]
+        own = "|".join(f"{MARK}*[{x}]+" for x in inside)
+        self.units = re.compile(f"{own}|{MARK}+|[^{MARK}{''.join(inside)}]", re.DOTALL)
         length = np.array([len(x) for x in self.surface])
         self.at, self.length = np.cumsum(length) - length, length
         self.flat = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Text of a row of ids, in UTF-8."""
+    def spelled(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The pieces' characters of rows of ids that end at ends, in UTF-8."""
         n = self.length[ids]
         end = np.cumsum(n)
         data = self.flat[np.repeat(self.at[ids] - end + n, n) + np.arange(end[-1] if len(end) else 0)].tobytes()
-        data = data.replace(MARK.encode(), b" ")
-        return data[1:] if data[:1] == b" " else data
+        stop = np.concatenate([[0], end])[ends].tolist()
+        return [data[a:b] for a, b in zip([0, *stop], stop, strict=False)]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Text of a row of ids, in UTF-8."""
+        return plain(self.spelled(ids, np.array([len(ids)]))[0])
 
 
 class Lattices(dict):
     """Unit -> number; lattices of all units in flat arrays. Units seen once are dropped when LIMIT is passed."""
 
-    LIMIT = 150_000
+    LIMIT = 240_000
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
@@ -122,13 +181,15 @@ class Lattices(dict):
     def _empty(self) -> None:
         self.clear()
         self.names, self.done = [], 0
-        self.start = np.zeros(0, dtype=np.int64)
-        self.ends = np.zeros(0, dtype=bool)
-        self.first = np.zeros(1, dtype=np.int64)  # of each node: edges of earlier nodes; one more at the end
-        self.target = np.zeros(0, dtype=np.int32)
-        self.code = np.zeros(0, dtype=np.int32)
-        self.logp, self.cdf = np.zeros(0), np.zeros(0)
-        self.seen = np.zeros(0, dtype=np.int64)
+        # first: of each node, edges of earlier nodes, and one more at the end; node: of each edge.
+        self.grown = {c: _Grown(k) for c, k in (("start", np.int64), ("ends", bool), ("first", np.int64), ("target", np.int32), ("code", np.int32), ("logp", float), ("cdf", float), ("node", np.int32), ("seen", np.int32))}
+        self._add(**{c: x.all for c, x in self.grown.items()})
+        self._add(first=np.zeros(1, dtype=np.int64))
+
+    def _add(self, **more: np.ndarray) -> None:
+        for name, x in more.items():
+            self.grown[name].add(x)
+            setattr(self, name, self.grown[name].all)
 
     def __missing__(self, unit: str) -> int:
         i = self[unit] = len(self.names)
@@ -137,17 +198,33 @@ class Lattices(dict):
 
     def numbers(self, units: list[str]) -> np.ndarray:
         if len(self.names) > self.LIMIT:
-            keep = [self.names[i] for i in np.flatnonzero(self.seen > 1)[: self.LIMIT // 2].tolist()]
-            self._empty()
-            for x in keep:
-                self[x]  # noqa: B018  takes a number
+            self._keep(np.flatnonzero(self.seen > 1)[: self.LIMIT // 2])
         at = np.fromiter(map(self.__getitem__, units), dtype=np.int64, count=len(units))
         if self.done < len(self.names):
             self._build(self.names[self.done :])
             self.done = len(self.names)
-        self.seen = np.concatenate([self.seen, np.zeros(len(self.names) - len(self.seen), dtype=np.int64)]) + np.bincount(at, minlength=len(self.names))
+        self._add(seen=np.zeros(len(self.names) - self.grown["seen"].n, dtype=np.int32))
+        self.seen += np.bincount(at, minlength=len(self.names)).astype(np.int32)
         return at
 
+    def _keep(self, units: np.ndarray) -> None:
+        """Drops all units but these, in order, without building any anew."""
+        names = [self.names[i] for i in units.tolist()]
+        size = np.array([len(x) + 1 for x in names], dtype=np.int64)
+        start = np.cumsum(size) - size
+        nodes = _stretches(self.start[units], size)
+        lo = self.first[self.start[units]]
+        fan = self.first[nodes + 1] - self.first[nodes]
+        edges = _stretches(lo, self.first[self.start[units] + size] - lo)
+        node = np.repeat(np.arange(len(nodes)), fan)
+        shift = np.repeat(nodes - np.arange(len(nodes)), fan)
+        kept = {"start": start, "ends": self.ends[nodes], "first": np.cumsum(fan), "target": self.target[edges] - shift, "code": self.code[edges],
+                "logp": self.logp[edges], "cdf": self.cdf[edges], "node": node, "seen": np.ones(len(names), dtype=np.int32)}
+        self._empty()
+        self._add(**kept)
+        self.names, self.done = names, len(names)
+        self.update(zip(names, range(len(names)), strict=True))
+
     def _build(self, units: list[str]) -> None:
         v = self.vocab
         cp = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
@@ -206,14 +283,8 @@ class Lattices(dict):
         begin = np.cumsum(size + 1) - (size + 1)
         ends = np.zeros(len(beta), dtype=bool)
         ends[begin + size] = True
-        self.start = np.concatenate([self.start, begin + before])
-        self.ends = np.concatenate([self.ends, ends])
-        self.target = np.concatenate([self.target, (dst + before).astype(np.int32)])
-        self.code = np.concatenate([self.code, code.astype(np.int32)])
-        self.logp = np.concatenate([self.logp, logp])
-        self.cdf = np.concatenate([self.cdf, run])
         fan = np.bincount(src, minlength=len(beta))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(fan)])
+        self._add(start=begin + before, ends=ends, target=dst + before, code=code, logp=logp, cdf=run, node=src + before, first=self.first[-1] + np.cumsum(fan))
 
     def walk(self, node: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Samples a path from each node to its unit's end: the edges one path after another, and each path's length."""
@@ -240,11 +311,10 @@ class Lattices(dict):
 
     def leave(self, edge: int, barred: list[int], u: float) -> int:
         """Another edge of the same node, none of those barred, by its probability."""
-        node = int(np.searchsorted(self.first, edge, side="right")) - 1
-        while self.ends[node]:
-            node -= 1
-        lo, hi = int(self.first[node]), int(self.first[node + 1])
-        free = [e for e in range(lo, hi) if e not in barred]
+        node = self.node[edge]
+        free = [e for e in range(self.first[node], self.first[node + 1]) if e not in barred]
+        if len(free) == 1:
+            return free[0]
         p = np.exp(self.logp[free])
         return free[min(int(np.searchsorted(np.cumsum(p), u * p.sum(), side="right")), len(free) - 1)]
 
@@ -254,14 +324,18 @@ class Lattices(dict):
         n = np.where(code >= 0, 1, 0)
         if (code >= 0).all():
             return code, n
-        out = []
-        rare = np.flatnonzero(code < 0)
-        last = 0
-        for i in rare.tolist():
-            raw = chr(-1 - code[i]).encode("utf-8", "surrogatepass")
-            out += [code[last:i], self.vocab.byte_id[list(raw)]]
-            n[i], last = len(raw), i + 1
-        return np.concatenate([*out, code[last:]]), n
+        rare = code < 0
+        points = -1 - code[rare]
+        n[rare] = _utf8_size(points)
+        out = np.repeat(code, n)
+        raw = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        out[np.repeat(rare, n)] = self.vocab.byte_id[np.frombuffer(raw, dtype=np.uint8)]
+        return out, n
+
+
+def _stretches(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo[i], lo[i] + 1, ... n[i] numbers for each i, one after another."""
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
 def _times(n: int, odd: int) -> np.uint64:
@@ -409,10 +483,11 @@ def sampled_encodings(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for s, (docs, edges, ends, total, value) in enumerate(emitted):
             ids, n = lat.ids(edges)
             id_end = np.concatenate([[0], np.cumsum(n)])[ends]
+            begin, stop, spelled, low = np.append(0, id_end[:-1]).tolist(), id_end.tolist(), lat.vocab.spelled(ids, id_end), ids.astype("<u4")
             for d in docs.tolist():
-                own = ids[id_end[d - 1] if d else 0 : id_end[d]]
+                own = ids[begin[d] : stop[d]]
                 inclusion = 1.0 if kappa[d] == _LOW else -math.expm1(-math.exp(min(total[d] - kappa[d], 700.0)))
-                rows.append((doc_ids[d], s, len(own), zlib.crc32(own.astype("<u4").tobytes()), total[d], value[d], inclusion, lat.vocab.decode(own) == want[d]))
+                rows.append((doc_ids[d], s, len(own), zlib.crc32(low[begin[d] : stop[d]]), total[d], value[d], inclusion, plain(spelled[d]) == want[d]))
                 if with_ids:
                     lists.append(own)
         cols = list(zip(*rows, strict=True)) or [()] * 8
