@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 #: Phrases that open the claims, in order of priority.
 CLAIMS = ("What is claimed is", "What is claimed", "The invention claimed is", "We claim", "I claim", "It is claimed")
-#: Operators that nearly always carry limits.
-BARE_OPERATORS = ("\\oint", "\\oiint", "\\oiiint", "\\int", "\\iint", "\\iiint", "\\sum", "\\prod", "\\coprod", "\\lim")
 SUPERSCRIPTS, PLAIN = "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻", "0123456789+-"
+#: Suffixes of images, and commands that renderers lack.
+IMAGES = "png|jpe?g|gif|webp|svg|bmp|tiff?"
+INCOMPATIBLE = ("\\displaylimits", "\\boldmath")
 
 
 def split_claims(text: Column, markers: tuple[str, ...] = CLAIMS) -> Column:
@@ -47,25 +48,54 @@ def image_refs(md: Column) -> Column:
 
 
 def is_local(ref: Column) -> Column:
-    return ~ref.rlike(r"^(?i)(https?:|data:|//|mailto:)")
+    """An image file that is not elsewhere: no scheme, and a known suffix before any query or fragment."""
+    return ~ref.rlike(r"^\s*(?i)(https?:|data:|//|mailto:)") & F.regexp_replace(ref, "[?#].*$", "").rlike(rf"(?i)\.({IMAGES})\s*$")
 
 
 def rewrite_refs(md: Column, assets: str) -> Column:
-    """Local image targets moved to an assets folder under their file name."""
-    return F.regexp_replace(md, r"(!\[[^\]]*\]\()(?!https?:|data:|//)(?:[^)\s]*/)?([^)/\s]+)\)", f"$1{assets}/$2)")
+    """Local image targets, in Markdown and HTML, moved to an assets folder under their file name."""
+    local = rf"(?!\s*(?:https?:|data:|//|mailto:))(?:[^)\s\"']*/)?([^)/\s\"'?#]+\.(?:{IMAGES}))(?:[?#][^)\s\"']*)?"
+    md = F.regexp_replace(md, rf"(?i)(!\[[^\]]*\]\()\s*{local}(\s[^)]*)?\)", f"$1{assets}/$2$3)")
+    return F.regexp_replace(md, rf"""(?i)(<img\b[^>]*?\bsrc\s*=\s*["']){local}(["'])""", f"$1{assets}/$2$3")
 
 
-def numeric_tokens(text: Column) -> Column:
-    """Numbers as written; superscripts become ^n before anything is folded, a minus sign becomes a hyphen."""
-    marked = F.translate(F.regexp_replace(text, f"([{SUPERSCRIPTS}]+)", "^$1"), SUPERSCRIPTS, PLAIN)
-    found = F.regexp_extract_all(marked, F.lit(r"(?<![A-Za-z0-9.])[-−]?[0-9]+(?:[.,][0-9]+)*(?:\s*[×x]\s*10\^-?[0-9]+|[eE][-+]?[0-9]+|\^-?[0-9]+)?"), F.lit(0))
-    return F.transform(found, lambda x: F.translate(x, "−", "-"))
+def incompatible_commands(md: Column) -> Column:
+    return F.filter(F.array(*map(F.lit, INCOMPATIBLE)), lambda c: F.contains(md, c))
+
+
+def number_from_name(stem: Column) -> Column:
+    """The document number in a file's name, without a leading zero, else the name."""
+    part = lambda i: F.upper(F.regexp_extract(stem, r"(?i)(US|EP|WO|CN|JP)\s*0?([0-9]+)\s*([A-Z]\d?)", i))
+    return F.when(part(1) != "", F.concat(part(1), part(2), part(3))).otherwise(stem)
+
+
+def topic_of_name(stem: Column) -> Column:
+    """The topic tag in a file's name (_T1a_..., _X_...), its parts joined; else empty."""
+    part = lambda i: F.nullif(F.regexp_extract(stem, r"_(T\d[A-Za-z]*|X[A-Za-z]*)_?(.*)$", i), F.lit(""))
+    return F.concat_ws("_", part(1), part(2))
+
+
+def country_of(number: Column) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(number, "^([A-Z]{2})", 1), F.lit("")), F.lit("?"))
+
+
+#: Forms of numbers, in order of precedence, and what may be a unit after one.
+NUMBER = (
+    r"(?<![A-Za-z0-9])\d+(?:\.\d+)?\s*[-–−~]\s*\d+(?:\.\d+)?(?![A-Za-z0-9])|(?<![A-Za-z0-9])[-+−]?\d+(?:\.\d+)?\s*[×xX]\s*10\^[-+−]?\d+"
+    r"|(?<![A-Za-z0-9])[-+−]?\d+(?:\.\d+)?[eE][-+−]?\d+|(?<![A-Za-z0-9])[-+−]?\d+(?:\.\d+)?\^[-+−]?\d+"
+    r"|(?<![A-Za-z0-9])[-+−]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?%?"
+)
+UNIT = r"[A-Za-zµμΩ°%]{1,8}(?:/[A-Za-zµμΩ°]{1,8})?"
 
 
-def bare_operators(md: Column) -> Column:
-    """Large operators without limits."""
-    names = "|".join(x[1:] for x in BARE_OPERATORS)
-    return F.regexp_extract_all(md, F.lit(rf"\\({names})(?![a-zA-Z])(?!\s*(?:\\limits|\\nolimits)?\s*[_^])"), F.lit(0))
+def numeric_tokens(text: Column) -> Column:
+    """Numbers as written, each followed by its unit if it has one; a raised exponent becomes ^n, a minus sign a hyphen."""
+    marked = F.regexp_replace(text, f"(?<=[0-9])([⁺⁻]?[{SUPERSCRIPTS[:10]}]+)", "\u0001$1\u0002")
+    marked = F.array_join(F.transform(F.split(marked, "\u0001"), lambda x: F.when(F.contains(x, F.lit("\u0002")), F.concat(F.lit("^"), F.translate(F.substring_index(x, "\u0002", 1), SUPERSCRIPTS, PLAIN), F.substring_index(x, "\u0002", -1))).otherwise(x)), "")
+    both = lambda i: F.regexp_extract_all(marked, F.lit(rf"({NUMBER})(?= ?({UNIT})?)"), F.lit(i))
+    pairs = F.arrays_zip(both(1).alias("n"), both(2).alias("u"))
+    unit = lambda u: F.when(u.rlike(r"[/\p{Lu}°Ω%µμ]"), u)
+    return F.array_compact(F.flatten(F.transform(pairs, lambda x: F.array(F.translate(x["n"], "−", "-"), unit(x["u"])))))
 
 
 def odd_dollars(line: Column) -> Column:
@@ -90,12 +120,23 @@ def code_fence(content: Column) -> Column:
     return F.concat(fence, F.lit("\n"), content, F.lit("\n"), fence)
 
 
+def formula_body(content: Column) -> Column:
+    """Without the outer $$ of a displayed formula."""
+    t = F.trim(content)
+    return F.when(t.rlike(r"(?s)^\$\$.*\$\$$") & (F.length(t) >= 4), F.trim(F.regexp_replace(t, r"(?s)^\$\$|\$\$$", ""))).otherwise(t)
+
+
+def strip_tags(latex: Column) -> Column:
+    """Without \\tag{...}."""
+    return F.trim(F.regexp_replace(latex, r"\\tag\*?\{[^{}]*\}", ""))
+
+
+def hard_breaks(content: Column) -> Column:
+    """Line ends that Markdown keeps."""
+    return F.replace(content, F.lit("\n"), F.lit("  \n"))
+
+
 def newline_style(text: Column) -> Column:
     """LF or CRLF; mixed or lone CR is null."""
     crlf, lf, cr = F.regexp_count(text, F.lit("\r\n")), F.regexp_count(text, F.lit("(?<!\r)\n")), F.regexp_count(text, F.lit("\r(?!\n)"))
     return F.when((cr > 0) | ((crlf > 0) & (lf > 0)), F.lit(None).cast("string")).when(crlf > 0, "CRLF").otherwise("LF")
-
-
-def join_hyphenated(words: Column) -> Column:
-    """Words joined by spaces; a line-end hyphen joins on, and goes between lower-case letters."""
-    return F.regexp_replace(F.regexp_replace(F.array_join(words, " "), r"(?<=[a-z])[-‐\u00AD] (?=[a-z])", ""), r"(?<=\S)([-‐\u00AD]) ", "$1")

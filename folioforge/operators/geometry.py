@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import insort
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,19 +16,26 @@ LADDER, LADDER_WEAK, LADDER_TOP, LADDER_HALF = 6, 2, 70, 35.0
 COLUMN_WORDS, FIGURE_WORDS, GUTTER = 80, 150, 8.0
 RUNNING_HEADER = r"(?i)(U\.?\s*S\.?\s*Patent|US\s*[\d,]+\s*B[12]|Sheet\s+\d+\s+of\s+\d+|^US0?\d{6,}|\bPage\s+\d+)"
 NUMBER_ROW = r"^[0-9]{1,4}\.?(?:\s+[0-9]{1,4}\.?)?$"
-CLOSE, OPEN = r"^[,.;:!?)\]}%’”'\"°]", r"[(\[{“‘$]$"
+SHEET = r"Sheet\s+[0-9]+\s+[Oo]f\s+[0-9]+"
+#: One-character tokens that lean left or right, line tolerance, paragraph and space thresholds.
+CLOSE, OPEN = r"^[,.;:!?)\]}%’”'\"°]$", r"^[(\[{“‘$]$"
+MARK = r"^[^\p{L}\p{N}]$"
+LINE_SHARE, GAP_SHARE, INDENT, SPACE, SPACE_SHARE, BAND_SPACE = 0.30, 1.7, 2.5, 1.5, 0.55, 2.0
 
 
-def strip_bands(df: DataFrame, page: list[str], height: float, gap: float = 2.0, header: str = RUNNING_HEADER) -> DataFrame:
-    """Adds `removed`: whole lines of the header and footer zones that look like running headers or number rows."""
+def strip_bands(df: DataFrame, page: list[str], height: float, header: str = RUNNING_HEADER) -> DataFrame:
+    """Adds `removed`: whole lines of the header and footer zones that look like running headers or number rows.
+
+    Lines are those of group_lines inside a zone, with a tolerance of 0.30 of the page's median word height.
+    """
     yc = (F.col("y0") + F.col("y1")) / 2
-    zone = F.when(yc < HEADER * height, "head").when(yc > FOOTER * height, "foot")
-    w = Window.partitionBy(*page, "zone").orderBy("yc", "x0", "ix")
-    rows = df.withColumn("yc", yc).withColumn("zone", zone)
-    edge = rows.where("zone IS NOT NULL").withColumn("_new", F.when(F.col("yc") - F.lag("yc").over(w) <= gap, 0).otherwise(1)).withColumn("line", F.sum("_new").over(w))
-    text = edge.groupBy(*page, "zone", "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "ix", "word"))), lambda s: s["word"]), " ").alias("_t"))
-    bad = text.where(F.col("_t").rlike(header) | F.col("_t").rlike(NUMBER_ROW)).select(*page, "zone", "line", F.lit(True).alias("removed"))
-    marked = edge.join(bad, [*page, "zone", "line"], "left").select(*df.columns, F.coalesce("removed", F.lit(False)).alias("removed"))
+    rows = df.withColumn("zone", F.when(yc < HEADER * height, "head").when(yc > FOOTER * height, "foot"))
+    edge = rows.where("zone IS NOT NULL").join(medians(df, page).select(*page, (F.col("height") * LINE_SHARE).alias("_tol")), page)
+    zone = [*page, "zone"]
+    edge = edge.join(group_lines(edge, zone, F.col("_tol")), [*zone, "ix"])
+    text = join_lines(edge, [*zone, "line"], F.lit(BAND_SPACE)).withColumn("_t", F.trim("text"))
+    bad = text.where(F.col("_t").rlike(header) | F.col("_t").rlike(NUMBER_ROW)).select(*zone, "line", F.lit(True).alias("removed"))
+    marked = edge.join(bad, [*zone, "line"], "left").select(*df.columns, F.coalesce("removed", F.lit(False)).alias("removed"))
     return marked.unionByName(rows.where("zone IS NULL").select(*df.columns, F.lit(False).alias("removed")))
 
 
@@ -41,19 +48,22 @@ def column_of(xc: Column, gutter: Column) -> Column:
 
 
 def page_kinds(df: DataFrame, page: list[str], index: str, width: float) -> DataFrame:
-    """Ordered page rule over word counts, the ladder of line numbers and the first words."""
+    """Ordered page rule over word counts, the ladder of line numbers and the page's text.
+
+    The gutter is the median centre of the ladder, else the page's centre; ladder_x holds the ladder's centres in order.
+    """
     xc = (F.col("x0") + F.col("x1")) / 2
-    centre = width / 2
+    centre = F.lit(width / 2)
     number = F.when(F.col("word").rlike("^[0-9]{1,9}$"), F.col("word").cast("int"))
     ladder = (number % 5 == 0) & number.between(5, LADDER_TOP) & (F.abs(xc - centre) <= LADDER_HALF)
-    head = F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("ix") % 600 < 15, F.struct("ix", "word")))), 1, 15), lambda s: s["word"]), " ")
-    sums = df.groupBy(*page, index).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(ladder).alias("ladder"), F.count_if(xc < centre - 20).alias("left"), F.count_if(xc > centre + 20).alias("right"),
-        head.alias("head"), F.count_if(F.col("word").rlike("(?i)^sheet$")).alias("sheets"),
-    )
-    body = (F.col("ladder") >= LADDER) | ((F.col("ladder") >= LADDER_WEAK) & (F.col("left") >= COLUMN_WORDS) & (F.col("right") >= COLUMN_WORDS))
-    kind = F.when(F.col(index) == 0, "COVER").when(F.col("head").rlike(r"\bPage\s+\d"), "FRONT_MATTER").when(body, "SPEC_BODY").when((F.col("sheets") > 0) | (F.col("n") < FIGURE_WORDS), "FIGURE").otherwise("FRONT_MATTER")
-    return sums.select(*page, index, "n", "ladder", kind.alias("kind"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("ix", "word"))), lambda s: s["word"])
+    sums = df.groupBy(*page, index).agg(F.count(F.lit(1)).cast("long").alias("n"), F.array_sort(F.collect_list(F.when(ladder, xc))).alias("ladder_x"), F.median(F.when(ladder, xc)).alias("_g"), F.collect_list(xc).alias("_x"), ordered.alias("_w"))
+    sums = sums.withColumn("ladder", F.size("ladder_x").cast("long")).withColumn("gutter", F.coalesce("_g", centre)).withColumn("_t", F.array_join("_w", " "))
+    beside = lambda f: F.size(F.filter("_x", f)) >= COLUMN_WORDS
+    body = (F.col("ladder") >= LADDER) | ((F.col("ladder") >= LADDER_WEAK) & beside(lambda x: x < F.col("gutter") - 20) & beside(lambda x: x > F.col("gutter") + 20))
+    front = F.array_join(F.slice("_w", 1, 15), " ").rlike(r"\bPage\s+\p{Nd}")
+    kind = F.when(F.col(index) == 0, "COVER").when(front, "FRONT_MATTER").when(body, "SPEC_BODY").when(F.col("_t").rlike(SHEET) | (F.col("n") < FIGURE_WORDS), "FIGURE").otherwise("FRONT_MATTER")
+    return sums.select(*page, index, "n", "ladder", "ladder_x", "gutter", kind.alias("kind"))
 
 
 def medians(df: DataFrame, page: list[str]) -> DataFrame:
@@ -69,33 +79,41 @@ def height_split(df: DataFrame, page: list[str], height: Column) -> DataFrame:
     return out.select(*page, "p10", "p50", (F.col("p50") / F.col("p10") >= 1.3).alias("bimodal"), F.size(F.filter("h", lambda x: x >= F.col("p10") * 1.6)).alias("tall"))
 
 
-def group_lines(df: DataFrame, page: list[str], tolerance: float) -> DataFrame:
-    """Line number of each word: words by height join a line while they are near its running median.
+def line_numbers(centres: list[float], tolerance: float) -> list[int]:
+    """Line of each word, given by their centres in rising order: a word joins the line while it is near its running median."""
+    line, ys, out = -1, [], []
+    for y in centres:
+        middle = None if not ys else (ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]) / 2
+        if middle is None or abs(y - middle) > tolerance:
+            line, ys = line + 1, []
+        insort(ys, y)
+        out.append(line)
+    return out
+
+
+def group_lines(df: DataFrame, page: list[str], tolerance: Column) -> DataFrame:
+    """Line number of each word of a page, ties in height by ix.
 
     The fold depends on order, so a page is one group; a page's words are bounded.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["yc", "ix"], kind="stable")
-        line, ys, out = -1, [], []
-        for y in pdf["yc"]:
-            middle = None if not ys else (ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]) / 2
-            if middle is None or abs(y - middle) > tolerance:
-                line, ys = line + 1, []
-            insort(ys, y)
-            out.append(line)
-        return pdf.assign(line=out)[[*page, "ix", "line"]]
+    def fold(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("yc", "ascending"), ("ix", "ascending")])
+        lines = line_numbers(part.column("yc").to_pylist(), part.column("tol")[0].as_py())
+        return part.select([*page, "ix"]).append_column("line", pa.array(lines, pa.int32()))
 
-    rows = df.select(*page, "ix", ((F.col("y0") + F.col("y1")) / 2).alias("yc"))
-    schema = ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in page), "ix int", "line int"])
-    return rows.groupBy(*page).applyInPandas(fold, schema)
+    rows = df.select(*page, "ix", ((F.col("y0") + F.col("y1")) / 2).alias("yc"), tolerance.cast("double").alias("tol"))
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*page, "ix"])
+    return rows.groupBy(*page).applyInArrow(fold, schema + ", line int")
 
 
 def space_between(word: Column, before: Column, gap: Column, threshold: Column) -> Column:
-    """Separator before a word: none at closing or after opening punctuation or in a slash or hyphen run, else by the gap."""
-    none = word.rlike(CLOSE) | before.rlike(OPEN) | word.rlike("^[/-]$") | before.rlike("^[/-]$")
-    single = (F.length(word) == 1) & ~word.rlike(r"^[\p{L}\p{N}]$")
-    return F.when(before.isNull() | none, "").when(single & (gap < threshold), "").otherwise(" ")
+    """Separator before a word. One-character tokens decide: none before a closing or after an opening one, nor at a slash or
+    hyphen; a blank between a comma or semicolon and a letter; other marks go by the gap; two words always have a blank."""
+    none = before.isNull() | word.rlike(CLOSE) | before.rlike(OPEN) | word.isin("/", "-") | before.isin("/", "-")
+    pause = before.isin(",", ";") & word.rlike(r"^\p{L}")
+    mark = word.rlike(MARK) | before.rlike(MARK)
+    return F.when(none, "").when(pause, " ").when(mark & ~(gap > threshold), "").otherwise(" ")
 
 
 def join_lines(df: DataFrame, line: list[str], threshold: Column) -> DataFrame:
@@ -105,46 +123,77 @@ def join_lines(df: DataFrame, line: list[str], threshold: Column) -> DataFrame:
     return rows.groupBy(*line).agg(F.array_join(parts, "").alias("text"), F.min("x0").alias("x0"), F.min("y0").alias("y0"))
 
 
-def paragraphs(lines: DataFrame, key: list[str], indent: float, gap: float) -> DataFrame:
-    """Lines joined to paragraphs, which start at an indent past the index-decile margin or after a wide gap; a soft hyphen
-    before a lower-case letter joins words."""
-    w = Window.partitionBy(*key).orderBy("line_no")
-    margin = lines.groupBy(*key).agg(F.array_sort(F.collect_list("x0")).alias("_m")).select(*key, F.element_at("_m", F.expr("cast(size(_m) div 10 + 1 as int)")).alias("margin"))
-    rows = lines.join(margin, key)
-    new = F.when(F.lag("y0").over(w).isNull() | (F.col("x0") > F.col("margin") + indent) | (F.col("y0") - F.lag("y0").over(w) > gap), 1).otherwise(0)
-    rows = rows.withColumn("_new", new).withColumn("para", F.sum("_new").over(w))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda s: s["text"]), " ")
-    return rows.groupBy(*key, "para").agg(F.regexp_replace(text, r"(?<=\p{L})[-­] (?=\p{Ll})", "").alias("text"), F.count(F.lit(1)).alias("lines"))
-
-
-def merge_continuations(paras: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Joins a paragraph that begins in lower case to one left open before it."""
-    w = Window.partitionBy(*key).orderBy(order)
-    is_open = ~F.lag("text").over(w).rlike(r"[.!?:;][\"'”’)\]]*\s*$")
-    lower = F.regexp_extract("text", r"^[^\p{L}]*(\p{L})", 1).rlike(r"\p{Ll}")
-    rows = paras.withColumn("_new", F.when(is_open & lower, 0).otherwise(1)).withColumn("merged", F.sum("_new").over(w))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "text"))), lambda s: s["text"]), " ")
-    return rows.groupBy(*key, "merged").agg(text.alias("text"), F.count(F.lit(1)).alias("pieces"))
-
+def paragraphs(lines: DataFrame, key: list[str], char_width: Column, line_height: Column) -> DataFrame:
+    """Lines (line_no, x0, y, text) joined to paragraphs: para, text, lines, new_by.
 
-def assign_words(df: DataFrame, blocks: DataFrame, page: list[str], threshold: float = 0.5) -> DataFrame:
+    A paragraph starts at an indent of more than max(2.5, a character) past the index-decile margin, or after a gap of more
+    than 1.7 line heights. A line that ends in a letter and a hyphen joins the next without either where that one begins in
+    lower case.
+    """
+    w = Window.partitionBy(*key).orderBy("line_no")
+    margin = lines.groupBy(*key).agg(F.array_sort(F.collect_list("x0")).alias("_m")).select(*key, F.element_at("_m", F.expr("cast(size(_m) div 10 + 1 as int)")).alias("_margin"))
+    indent = F.col("x0") > F.col("_margin") + F.greatest(F.lit(INDENT), char_width)
+    gap = F.coalesce(F.col("y") - F.lag("y").over(w) > GAP_SHARE * line_height, F.lit(False))
+    rows = lines.join(margin, key).withColumn("_by", F.when(indent, "indent").when(gap, "gap").when(F.lag("y").over(w).isNull(), "first"))
+    rows = rows.withColumn("para", F.sum(F.when(F.col("_by").isNotNull(), 1).otherwise(0)).over(w))
+    soft = (F.lag("para").over(w) == F.col("para")) & F.lag("text").over(w).rlike(r"\p{L}-$") & F.col("text").rlike(r"^\p{Ll}")
+    rows = rows.withColumn("_soft", F.coalesce(soft, F.lit(False)))
+    cut = F.when(F.coalesce(F.lead("_soft").over(w), F.lit(False)), F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
+    start = F.lag("para").over(w).isNull() | (F.lag("para").over(w) != F.col("para"))
+    rows = rows.withColumn("_t", F.concat(F.when(F.col("_soft") | start, "").otherwise(" "), cut))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "_t"))), lambda s: s["_t"])
+    return rows.groupBy(*key, "para").agg(F.array_join(parts, "").alias("text"), F.count(F.lit(1)).alias("lines"), F.max("_by").alias("new_by"))
+
+
+#: Marks that end a sentence, and those that may follow them.
+SENTENCE_END = r"[.!?:][’”\"')\]\s]*$"
+ALL_CLOSERS = r"^[’”\"')\]\s]*$"
+
+
+def merge_continuations(paras: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Joins a paragraph to the one before where it begins a column or page (new_by = first) in lower case and the one before
+    is left open, closing quotes and brackets aside."""
+    w = Window.partitionBy(*key).orderBy(*order)
+    before = F.lag("text").over(w)
+    is_open = ~before.rlike(SENTENCE_END) & ~before.rlike(ALL_CLOSERS)
+    lower = F.regexp_extract("text", r"^[^\p{L}]*(\p{L})", 1).rlike(r"^\p{Ll}")
+    rows = paras.withColumn("_new", F.when((F.col("new_by") == "first") & is_open & lower, 0).otherwise(1)).withColumn("merged", F.sum("_new").over(w))
+    rows = rows.withColumn("_end", F.lead("merged").over(w))
+    text = F.when(F.col("_new") == 0, F.ltrim("text")).otherwise(F.col("text"))
+    text = F.when(F.col("_end") == F.col("merged"), F.rtrim(text)).otherwise(text)
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("_t")))), lambda s: s["_t"])
+    return rows.groupBy(*key, "merged").agg(F.array_join(parts, " ").alias("text"), F.count(F.lit(1)).alias("pieces"))
+
+
+def assign_words(df: DataFrame, blocks: DataFrame, page: list[str], threshold: float = 0.5, sizes: DataFrame | None = None) -> DataFrame:
     """source_index of the best block of each word, or null: a block around its centre (smallest first), else the one that
-    covers most of it, if at least `threshold`.
+    covers most of it, if at least `threshold`; then the smaller area, then the smaller box.
 
-    A page's blocks travel as one bounded array, so a word is one row throughout: no row blow-up and no window.
+    sizes (page keys, pdf_width, pdf_height, ocr_width, ocr_height, unscorable) brings words and blocks to shares of the
+    page; on a page that cannot be scored no word is assigned. A page's blocks travel as one bounded array, so a word is
+    one row throughout: no row blow-up and no window; only blocks that touch a word are compared.
     """
-    packed = blocks.groupBy(*page).agg(F.collect_list(F.struct("x0", "y0", "x1", "y1", "source_index")).alias("_b"))
+    ones = ("x0", "y0", "x1", "y1")
+    if sizes is not None:
+        own = sizes.select(*page, *(F.col(c).alias(f"_{c}") for c in ("pdf_width", "pdf_height", "ocr_width", "ocr_height", "unscorable")))
+        blocks = blocks.join(own, page).where(~F.col("_unscorable")).select(*page, "source_index", *((F.col(c) / F.col("_ocr_width" if c[0] == "x" else "_ocr_height")).alias(c) for c in ones), *(F.col(f"_pdf_{c}") for c in ("width", "height")))
+    else:
+        blocks = blocks.select(*page, "source_index", *ones, F.lit(1.0).alias("_pdf_width"), F.lit(1.0).alias("_pdf_height"))
+    packed = blocks.groupBy(*page).agg(F.collect_list(F.struct(*ones, ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("area"), F.col("source_index").alias("i"))).alias("_b"), F.max("_pdf_width").alias("_w"), F.max("_pdf_height").alias("_h"))
     rows = df.join(packed, page, "left")
-    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    xc, yc, own = (x0 + x1) / 2, (y0 + y1) / 2, (x1 - x0) * (y1 - y0)
+    x0, x1 = (F.col(c) / F.col("_w") for c in ("x0", "x1"))
+    y0, y1 = (F.col(c) / F.col("_h") for c in ("y0", "y1"))
+    rows = rows.withColumn("_q", F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), ((x0 + x1) / 2).alias("xc"), ((y0 + y1) / 2).alias("yc"), ((x1 - x0) * (y1 - y0)).alias("own")))
+    q = F.col("_q")
 
     def score(b):
-        inside = (xc >= b["x0"]) & (xc <= b["x1"]) & (yc >= b["y0"]) & (yc <= b["y1"])
-        wide = F.greatest(F.least(x1, b["x1"]) - F.greatest(x0, b["x0"]), F.lit(0.0)) * F.greatest(F.least(y1, b["y1"]) - F.greatest(y0, b["y0"]), F.lit(0.0))
-        share = F.when(own > 0, wide / own).otherwise(0.0)
-        return F.struct((~inside).alias("out"), F.when(inside, 0.0).otherwise(-share).alias("share"), ((b["x1"] - b["x0"]) * (b["y1"] - b["y0"])).alias("area"), b["x0"].alias("bx0"), b["y0"].alias("by0"), b["x1"].alias("bx1"), b["y1"].alias("by1"), b["source_index"].alias("i"))
+        inside = (q["xc"] >= b["x0"]) & (q["xc"] <= b["x1"]) & (q["yc"] >= b["y0"]) & (q["yc"] <= b["y1"])
+        wide = F.greatest(F.least(q["x1"], b["x1"]) - F.greatest(q["x0"], b["x0"]), F.lit(0.0)) * F.greatest(F.least(q["y1"], b["y1"]) - F.greatest(q["y0"], b["y0"]), F.lit(0.0))
+        share = F.when(q["own"] > 0, wide / q["own"]).otherwise(0.0)
+        return F.struct((~inside).alias("out"), F.when(inside, 0.0).otherwise(-share).alias("share"), b["area"].alias("area"), b["x0"].alias("bx0"), b["y0"].alias("by0"), b["x1"].alias("bx1"), b["y1"].alias("by1"), b["i"].alias("i"))
 
-    best = F.array_min(F.transform("_b", score))
+    near = F.filter("_b", lambda b: (b["y0"] <= q["y1"]) & (b["y1"] >= q["y0"]) & (b["x0"] <= q["x1"]) & (b["x1"] >= q["x0"]))
+    best = F.array_min(F.transform(near, score))
     rows = rows.withColumn("_best", best)
     return rows.select(*df.columns, F.when(~F.col("_best.out") | (F.col("_best.share") <= -threshold), F.col("_best.i")).alias("source_index"))
 
@@ -198,14 +247,33 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "page", F.expr("line_no div 5").cast("int").alias("source_index")).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
+def _banded(spark, sf_dir):
+    """Words whose first line of a page is a running header or a number row on some documents."""
+    first = (F.col("ix") % 600) < 12
+    place = F.col("ix") % 12
+    head = F.element_at(F.array(*map(F.lit, ["US", "10,155,111", "B2"])), F.least(place + 1, F.lit(3)).cast("int"))
+    word = F.when(first & (F.col("doc_id") % 3 == 1) & (place < 3), head).when(first & (F.col("doc_id") % 3 == 2) & (place < 2), (place + 11).cast("string")).otherwise(F.col("word"))
+    rows = _laid_out(spark, sf_dir).withColumn("word", word)
+    return rows.where(~(first & (F.col("doc_id") % 3 == 2) & (place >= 2)))
+
+
 def band_strip(spark, sf_dir):
-    rows = strip_bands(_laid_out(spark, sf_dir), ["doc_id", "page"], 792.0, header="^The")
+    rows = strip_bands(_banded(spark, sf_dir), ["doc_id", "page"], 792.0)
     return rows.groupBy("doc_id", "page").agg(F.count_if("removed").alias("removed"), F.count_if(~F.col("removed")).alias("kept"))
 
 
+def _ladder(spark, sf_dir):
+    """Words with a ladder of line numbers, a sheet header and a page header on some pages."""
+    at = F.col("ix") % 600
+    sheet = F.element_at(F.array(*map(F.lit, ["Sheet", "3", "of", "9"])), F.greatest(F.least(at - 19, F.lit(4)), F.lit(1)).cast("int"))
+    word = F.when(F.expr("ix % 12 = 6 AND (ix div 12) % 5 = 4 AND doc_id % 4 <> 1"), F.expr("cast((ix % 600) div 12 + 1 as string)")) \
+        .when((F.col("doc_id") % 6 == 1) & at.between(20, 23), sheet).when((F.col("doc_id") % 5 == 3) & (at == 3), "Page").when((F.col("doc_id") % 5 == 3) & (at == 4), "12").otherwise(F.col("word"))
+    return _laid_out(spark, sf_dir).withColumn("word", word)
+
+
 def page_kind(spark, sf_dir):
-    rows = _laid_out(spark, sf_dir).withColumn("word", F.when(F.expr("ix % 12 = 6 AND (ix div 12) % 5 = 4"), F.expr("cast((ix % 600) div 12 + 1 as string)")).otherwise(F.col("word")))
-    return page_kinds(rows, ["doc_id"], "page", 612.0)
+    out = page_kinds(_ladder(spark, sf_dir), ["doc_id"], "page", 612.0)
+    return out.select("doc_id", "page", "n", "ladder", "gutter", "kind", F.array_join(F.transform("ladder_x", lambda x: x.cast("string")), ",").alias("ladder_x"))
 
 
 def page_medians(spark, sf_dir):
@@ -219,28 +287,46 @@ def height_index(spark, sf_dir):
 
 def line_groups(spark, sf_dir):
     rows = _laid_out(spark, sf_dir).withColumn("y0", F.col("y0") + F.col("ix") % 3)
-    return group_lines(rows.withColumn("y1", F.col("y0") + 8), ["doc_id", "page"], 4.0)
+    return group_lines(rows.withColumn("y1", F.col("y0") + 8), ["doc_id", "page"], F.lit(4.0))
 
 
 def line_texts(spark, sf_dir):
-    return join_lines(_laid_out(spark, sf_dir).withColumn("word", F.when(F.col("ix") % 17 == 0, "(").when(F.col("ix") % 19 == 0, "-").otherwise(F.col("word"))), ["doc_id", "page", "line_no"], F.lit(5.5)).drop("x0", "y0")
+    """Lines of words among which marks of all kinds stand at narrow and wide gaps."""
+    marks = F.element_at(F.array(*map(F.lit, ["(", ".", "-", ",", "f(", ".5", "*", "[", "”", ";", "/", "§"])), (F.col("ix") % 13 % 12 + 1).cast("int"))
+    rows = _laid_out(spark, sf_dir).withColumn("word", F.when((F.col("ix") + F.col("doc_id")) % 4 == 0, marks).otherwise(F.col("word")))
+    rows = rows.withColumn("x0", F.col("x0") - F.col("ix") % 3 * 4)
+    return join_lines(rows, ["doc_id", "page", "line_no"], F.lit(5.5)).drop("x0", "y0")
 
 
 def paragraph_breaks(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"), F.max("l_suppkey").alias("l_suppkey"), F.max("l_returnflag").alias("l_returnflag"))
-    lines = lines.select("l_orderkey", F.col("l_linenumber").alias("line_no"), (72.0 + F.col("l_partkey") % 3 * 4).alias("x0"), (F.col("l_linenumber") * 14.0 + F.col("l_suppkey") % 2 * 12 * (F.col("l_linenumber") % 2)).alias("y0"), F.concat("l_returnflag", F.when(F.col("l_partkey") % 2 == 0, "-").otherwise(".")).alias("text"))
-    return paragraphs(lines, ["l_orderkey"], 2.5, 20.0)
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("p"), F.max("l_suppkey").alias("s"), F.max("l_returnflag").alias("f"))
+    ends = F.element_at(F.array(*map(F.lit, ["a- b", "con-", "x.", "7-", "-", "é-"])), (F.col("p") % 6 + 1).cast("int"))
+    lines = lines.select("l_orderkey", F.col("l_linenumber").alias("line_no"), (72.0 + F.col("p") % 3 * 4).alias("x0"), (F.col("l_linenumber") * 10.0 + F.col("s") % 2 * 8 * (F.col("l_linenumber") % 2)).alias("y"), F.concat(F.when(F.col("s") % 3 == 0, F.col("f")).otherwise(F.lower("f")), F.lit(" "), ends).alias("text"))
+    return paragraphs(lines, ["l_orderkey"], F.lit(6.0), F.lit(10.0))
 
 
 def merged_paragraphs(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 3 == 1, F.lower("text")).otherwise(F.regexp_replace("text", r"[.!?]+\s*$", "")).alias("text"))
-    return merge_continuations(turns, ["conv_id"], "turn")
+    ends = F.element_at(F.array(*map(F.lit, ["", ".”", ";", "?) ", " ')", ":"])), (F.col("turn") % 6 + 1).cast("int"))
+    body = F.regexp_replace("text", r"[^\p{L}\p{N} ]", "")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 8 == 7, ends).otherwise(F.concat(F.when(F.col("turn") % 3 == 1, body).otherwise(F.lower(body)), ends)).alias("text"), F.when((F.col("conv_id") + F.col("turn")) % 4 != 0, "first").otherwise("indent").alias("new_by"))
+    return merge_continuations(turns, ["conv_id"], ["turn"])
 
 
 def word_block_assign(spark, sf_dir):
+    """Words assigned to blocks in pixels of twice their size; some pages cannot be scored."""
+    rows = _laid_out(spark, sf_dir)
+    shift = F.col("ix") % 2 * 9
+    shifted = rows.withColumn("y0", F.col("y0") + shift).withColumn("y1", F.col("y1") + shift)
+    blocks = _blocks(rows).where("(page + source_index) % 4 <> 3")
+    blocks = blocks.select("doc_id", "page", "source_index", *((F.col(c) * 2).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    sizes = blocks.select("doc_id", "page").distinct().select("doc_id", "page", F.lit(612.0).alias("pdf_width"), F.lit(792.0).alias("pdf_height"), F.lit(1224.0).alias("ocr_width"), F.lit(1584.0).alias("ocr_height"), ((F.col("doc_id") + F.col("page")) % 13 == 0).alias("unscorable"))
+    return assign_words(shifted, blocks, ["doc_id", "page"], sizes=sizes).select("doc_id", "ix", "source_index")
+
+
+def points_in_blocks(spark, sf_dir):
     rows = _laid_out(spark, sf_dir)
-    shifted = rows.withColumn("y0", F.col("y0") + F.col("ix") % 2 * 9).withColumn("y1", F.col("y1") + F.col("ix") % 2 * 9)
-    return assign_words(shifted, _blocks(rows).where("(page + source_index) % 4 <> 3"), ["doc_id", "page"]).select("doc_id", "ix", "source_index")
+    points = rows.where("ix % 5 = 0").select("doc_id", "page", "ix", F.col("x1").alias("px"), (F.col("y1") + F.col("ix") % 3).alias("py"))
+    return block_at(points, _blocks(rows), ["doc_id", "page"]).select("doc_id", "ix", "source_index")
 
 
 def extras_merged(spark, sf_dir):
@@ -261,43 +347,61 @@ def column_layout(spark, sf_dir):
     return side_by_side(boxes, ["l_orderkey"])
 
 
-QUERIES = {f.__name__: f for f in (band_strip, page_kind, page_medians, height_index, line_groups, line_texts, paragraph_breaks, merged_paragraphs, word_block_assign, extras_merged, insertion_anchors, column_layout)}
+QUERIES = {f.__name__: f for f in (band_strip, page_kind, page_medians, height_index, line_groups, line_texts, paragraph_breaks, merged_paragraphs, word_block_assign, points_in_blocks, extras_merged, insertion_anchors, column_layout)}
 
 _W = "WITH " + WORDS
 ORACLE = {
-    "band_strip": _W + r""", z AS (SELECT *, CASE WHEN (y0 + y1) / 2 < 0.11 * 792 THEN 'head' WHEN (y0 + y1) / 2 > 0.92 * 792 THEN 'foot' END AS zone FROM words),
- l AS (SELECT doc_id, page, zone, line_no, string_agg(word, ' ' ORDER BY x0, ix) AS t FROM z WHERE zone IS NOT NULL GROUP BY ALL)
- SELECT z.doc_id, z.page, count(*) FILTER (l.t IS NOT NULL AND (regexp_matches(l.t, '^The') OR regexp_full_match(l.t, '[0-9]{1,4}\.?(\s+[0-9]{1,4}\.?)?'))) AS removed,
-  count(*) FILTER (l.t IS NULL OR NOT (regexp_matches(l.t, '^The') OR regexp_full_match(l.t, '[0-9]{1,4}\.?(\s+[0-9]{1,4}\.?)?'))) AS kept
- FROM z LEFT JOIN l USING (doc_id, page, zone, line_no) GROUP BY ALL""",
-    "page_kind": _W + r""", v AS (SELECT * REPLACE (CASE WHEN ix % 12 = 6 AND (ix // 12) % 5 = 4 THEN CAST((ix % 600) // 12 + 1 AS VARCHAR) ELSE word END AS word), (x0 + x1) / 2 AS xc FROM words),
- s AS (SELECT doc_id, page, count(*) AS n, count(*) FILTER (regexp_full_match(word, '[0-9]{1,9}') AND TRY_CAST(word AS INTEGER) % 5 = 0 AND TRY_CAST(word AS INTEGER) BETWEEN 5 AND 70 AND abs(xc - 306) <= 35) AS ladder,
-  count(*) FILTER (xc < 286) AS l, count(*) FILTER (xc > 326) AS r, string_agg(word, ' ' ORDER BY ix) FILTER (ix % 600 < 15) AS head, count(*) FILTER (lower(word) = 'sheet') AS sheets FROM v GROUP BY ALL)
- SELECT doc_id, page, n, ladder, CASE WHEN page = 0 THEN 'COVER' WHEN regexp_matches(coalesce(head, ''), '\bPage\s+[0-9]') THEN 'FRONT_MATTER' WHEN ladder >= 6 OR (ladder >= 2 AND l >= 80 AND r >= 80) THEN 'SPEC_BODY'
-  WHEN sheets > 0 OR n < 150 THEN 'FIGURE' ELSE 'FRONT_MATTER' END AS kind FROM s""",
+    "band_strip": _W + r""", v AS (SELECT * REPLACE (CASE WHEN ix % 600 < 12 AND doc_id % 3 = 1 AND ix % 12 < 3 THEN (['US', '10,155,111', 'B2'])[ix % 12 + 1] WHEN ix % 600 < 12 AND doc_id % 3 = 2 AND ix % 12 < 2 THEN CAST(ix % 12 + 11 AS VARCHAR) ELSE word END AS word)
+  FROM words WHERE NOT (ix % 600 < 12 AND doc_id % 3 = 2 AND ix % 12 >= 2)),
+ z AS (SELECT *, CASE WHEN (y0 + y1) / 2 < 0.11 * 792 THEN 'head' WHEN (y0 + y1) / 2 > 0.92 * 792 THEN 'foot' END AS zone FROM v),
+ l AS (SELECT doc_id, page, zone, line_no, string_agg(word, ' ' ORDER BY x0, ix) AS t FROM z WHERE zone IS NOT NULL GROUP BY ALL),
+ b AS (SELECT * FROM l WHERE regexp_matches(t, '(?i)(U\.?\s*S\.?\s*Patent|US\s*[0-9,]+\s*B[12]|Sheet\s+[0-9]+\s+of\s+[0-9]+|^US0?[0-9]{6,}|\bPage\s+[0-9]+)') OR regexp_full_match(t, '[0-9]{1,4}\.?(\s+[0-9]{1,4}\.?)?'))
+ SELECT z.doc_id, z.page, count(*) FILTER (b.t IS NOT NULL) AS removed, count(*) FILTER (b.t IS NULL) AS kept FROM z LEFT JOIN b USING (doc_id, page, zone, line_no) GROUP BY ALL""",
+    "page_kind": _W + r""", v AS (SELECT * REPLACE (CASE WHEN ix % 12 = 6 AND (ix // 12) % 5 = 4 AND doc_id % 4 <> 1 THEN CAST((ix % 600) // 12 + 1 AS VARCHAR) WHEN doc_id % 6 = 1 AND ix % 600 BETWEEN 20 AND 23 THEN (['Sheet', '3', 'of', '9'])[ix % 600 - 19]
+   WHEN doc_id % 5 = 3 AND ix % 600 = 3 THEN 'Page' WHEN doc_id % 5 = 3 AND ix % 600 = 4 THEN '12' ELSE word END AS word), (x0 + x1) / 2 AS xc FROM words),
+ m AS (SELECT *, regexp_full_match(word, '[0-9]{1,9}') AND TRY_CAST(word AS INTEGER) % 5 = 0 AND TRY_CAST(word AS INTEGER) BETWEEN 5 AND 70 AND abs(xc - 306) <= 35 AS rung, row_number() OVER (PARTITION BY doc_id, page ORDER BY ix) AS place FROM v),
+ g AS (SELECT doc_id, page, coalesce(median(CAST(xc AS DOUBLE)) FILTER (rung), 306.0) AS gutter FROM m GROUP BY ALL),
+ s AS (SELECT doc_id, page, gutter, count(*) AS n, count(*) FILTER (rung) AS ladder, count(*) FILTER (xc < gutter - 20) AS l, count(*) FILTER (xc > gutter + 20) AS r, string_agg(word, ' ' ORDER BY ix) FILTER (place <= 15) AS head, string_agg(word, ' ' ORDER BY ix) AS t,
+   coalesce(string_agg(CAST(CAST(xc AS DOUBLE) AS VARCHAR), ',' ORDER BY xc) FILTER (rung), '') AS ladder_x FROM m JOIN g USING (doc_id, page) GROUP BY ALL)
+ SELECT doc_id, page, n, ladder, gutter, ladder_x, CASE WHEN page = 0 THEN 'COVER' WHEN regexp_matches(head, '\bPage\s+[0-9]') THEN 'FRONT_MATTER' WHEN ladder >= 6 OR (ladder >= 2 AND l >= 80 AND r >= 80) THEN 'SPEC_BODY'
+  WHEN regexp_matches(t, 'Sheet\s+[0-9]+\s+[Oo]f\s+[0-9]+') OR n < 150 THEN 'FIGURE' ELSE 'FRONT_MATTER' END AS kind FROM s""",
     "page_medians": _W + r""" SELECT doc_id, page, coalesce(median(CASE WHEN regexp_full_match(word, '\p{L}{3,}') THEN CAST(x1 - x0 AS DOUBLE) / length(word) END), 6.0) AS char_width, coalesce(median(CAST(y1 - y0 AS DOUBLE)), 10.0) AS height FROM words GROUP BY ALL""",
     "height_index": _W + """, h AS (SELECT doc_id, page, list_sort(list(CAST(CASE WHEN ix % 3 = 0 THEN 16.0 ELSE 8.0 + ix % 5 END AS DOUBLE))) AS h FROM words GROUP BY ALL)
  SELECT doc_id, page, h[len(h) // 10 + 1] AS p10, h[len(h) // 2 + 1] AS p50, h[len(h) // 2 + 1] / h[len(h) // 10 + 1] >= 1.3 AS bimodal, CAST(len(list_filter(h, lambda x: x >= h[len(h) // 10 + 1] * 1.6)) AS INTEGER) AS tall FROM h""",
-    "line_texts": _W + r""", v AS (SELECT * REPLACE (CASE WHEN ix % 17 = 0 THEN '(' WHEN ix % 19 = 0 THEN '-' ELSE word END AS word) FROM words),
- p AS (SELECT *, lag(word) OVER (PARTITION BY doc_id, page, line_no ORDER BY x0, ix) AS b FROM v),
- s AS (SELECT *, CASE WHEN b IS NULL OR regexp_matches(word, '^[,.;:!?)\]}%’”''"°]') OR regexp_matches(b, '[(\[{“‘$]$') OR word IN ('/', '-') OR b IN ('/', '-') THEN '' ELSE ' ' END AS sep FROM p)
+    "line_groups": "WITH RECURSIVE " + WORDS + """, w AS (SELECT doc_id, page, ix, y0 + ix % 3 + 4 AS yc, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0 + ix % 3, ix) AS place FROM words),
+ f AS (SELECT doc_id, page, ix, place, yc, 0 AS line, [yc] AS ys FROM w WHERE place = 1
+  UNION ALL SELECT w.doc_id, w.page, w.ix, w.place, w.yc, CASE WHEN abs(w.yc - list_median(f.ys)) <= 4 THEN f.line ELSE f.line + 1 END, CASE WHEN abs(w.yc - list_median(f.ys)) <= 4 THEN list_append(f.ys, w.yc) ELSE [w.yc] END
+   FROM f JOIN w ON w.doc_id = f.doc_id AND w.page = f.page AND w.place = f.place + 1)
+ SELECT doc_id, page, CAST(ix AS INTEGER) AS ix, CAST(line AS INTEGER) AS line FROM f""",
+    "line_texts": _W + r""", v AS (SELECT * REPLACE (CASE WHEN (ix + doc_id) % 4 = 0 THEN (['(', '.', '-', ',', 'f(', '.5', '*', '[', '”', ';', '/', '§'])[ix % 13 % 12 + 1] ELSE word END AS word, x0 - ix % 3 * 4 AS x0) FROM words),
+ p AS (SELECT *, lag(word) OVER w AS b, x0 - lag(x1) OVER w AS gap FROM v WINDOW w AS (PARTITION BY doc_id, page, line_no ORDER BY x0, ix)),
+ s AS (SELECT *, CASE WHEN b IS NULL OR word IN (',', '.', ';', ':', '!', '?', ')', ']', '}', '%', '’', '”', '''', '"', '°', '/', '-') OR b IN ('(', '[', '{', '“', '‘', '$', '/', '-') THEN '' WHEN b IN (',', ';') AND regexp_matches(word, '^\p{L}') THEN ' '
+   WHEN (regexp_full_match(word, '[^\p{L}\p{N}]') OR regexp_full_match(b, '[^\p{L}\p{N}]')) AND NOT gap > 5.5 THEN '' ELSE ' ' END AS sep FROM p)
  SELECT doc_id, page, line_no, string_agg(sep || word, '' ORDER BY x0, ix) AS text FROM s GROUP BY ALL""",
-    "paragraph_breaks": r"""WITH l AS (SELECT l_orderkey, l_linenumber AS line_no, 72.0 + l_partkey % 3 * 4 AS x0, l_linenumber * 14.0 + l_suppkey % 2 * 12 * (l_linenumber % 2) AS y0, l_returnflag || CASE WHEN l_partkey % 2 = 0 THEN '-' ELSE '.' END AS text FROM
-  (SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey, max(l_returnflag) AS l_returnflag FROM lineitem GROUP BY ALL)),
+    "paragraph_breaks": r"""WITH l AS (SELECT l_orderkey, l_linenumber AS line_no, 72.0 + p % 3 * 4 AS x0, l_linenumber * 10.0 + s % 2 * 8 * (l_linenumber % 2) AS y, (CASE WHEN s % 3 = 0 THEN f ELSE lower(f) END) || ' ' || (['a- b', 'con-', 'x.', '7-', '-', 'é-'])[p % 6 + 1] AS text FROM
+  (SELECT l_orderkey, l_linenumber, max(l_partkey) AS p, max(l_suppkey) AS s, max(l_returnflag) AS f FROM lineitem GROUP BY ALL)),
  m AS (SELECT l_orderkey, list_sort(list(x0))[count(*) // 10 + 1] AS margin FROM l GROUP BY l_orderkey),
- n AS (SELECT l.*, CASE WHEN lag(y0) OVER w IS NULL OR x0 > margin + 2.5 OR y0 - lag(y0) OVER w > 20 THEN 1 ELSE 0 END AS new FROM l JOIN m USING (l_orderkey) WINDOW w AS (PARTITION BY l_orderkey ORDER BY line_no)),
- p AS (SELECT *, CAST(sum(new) OVER (PARTITION BY l_orderkey ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS para FROM n)
- SELECT l_orderkey, para, string_agg(text, ' ' ORDER BY line_no) AS text, count(*) AS lines FROM p GROUP BY ALL""",
-    "merged_paragraphs": r"""WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN lower(text) ELSE regexp_replace(text, '[.!?]+\s*$', '') END AS text FROM conversations),
- n AS (SELECT *, CASE WHEN NOT regexp_matches(lag(text) OVER w, '[.!?:;]["''”’)\]]*\s*$') AND regexp_matches(text, '^[^\p{L}]*\p{Ll}') THEN 0 ELSE 1 END AS new FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
- p AS (SELECT *, CAST(sum(new) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS merged FROM n)
- SELECT conv_id, merged, string_agg(text, ' ' ORDER BY turn) AS text, count(*) AS pieces FROM p GROUP BY ALL""",
-    "word_block_assign": _W + """, b AS (SELECT doc_id, page, CAST(line_no // 5 AS INTEGER) AS source_index, min(x0) AS bx0, min(y0) AS by0, max(x1) AS bx1, max(y1) AS by1 FROM words GROUP BY doc_id, page, CAST(line_no // 5 AS INTEGER) HAVING (page + CAST(line_no // 5 AS INTEGER)) % 4 <> 3),
- s AS (SELECT doc_id, page, ix, x0, x1, y0 + ix % 2 * 9 AS y0, y1 + ix % 2 * 9 AS y1 FROM words),
+ n AS (SELECT l.*, CASE WHEN x0 > margin + 6 THEN 'indent' WHEN y - lag(y) OVER w > 17 THEN 'gap' WHEN lag(y) OVER w IS NULL THEN 'first' END AS by_ FROM l JOIN m USING (l_orderkey) WINDOW w AS (PARTITION BY l_orderkey ORDER BY line_no)),
+ p AS (SELECT *, CAST(count(by_) OVER (PARTITION BY l_orderkey ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS para FROM n),
+ q AS (SELECT *, coalesce(by_ IS NULL AND regexp_matches(lag(text) OVER w, '\p{L}-$') AND regexp_matches(text, '^\p{Ll}'), false) AS soft FROM p WINDOW w AS (PARTITION BY l_orderkey ORDER BY line_no)),
+ r AS (SELECT *, coalesce(lead(soft) OVER (PARTITION BY l_orderkey ORDER BY line_no), false) AS cut FROM q)
+ SELECT l_orderkey, para, string_agg(CASE WHEN soft OR by_ IS NOT NULL THEN '' ELSE ' ' END || CASE WHEN cut THEN text[:-2] ELSE text END, '' ORDER BY line_no) AS text, count(*) AS lines, max(by_) AS new_by FROM r GROUP BY ALL""",
+    "merged_paragraphs": r"""WITH e AS (SELECT *, (['', '.”', ';', '?) ', ' '')', ':'])[turn % 6 + 1] AS ends, regexp_replace(text, '[^\p{L}\p{N} ]', '', 'g') AS body FROM conversations),
+ t AS (SELECT conv_id, turn, CASE WHEN turn % 8 = 7 THEN ends ELSE (CASE WHEN turn % 3 = 1 THEN body ELSE lower(body) END) || ends END AS text, (conv_id + turn) % 4 <> 0 AS first FROM e),
+ b AS (SELECT *, regexp_replace(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '[’”"'')\]\s]+$', '') AS bare FROM t),
+ n AS (SELECT *, CASE WHEN first AND bare <> '' AND bare[-1] NOT IN ('.', '!', '?', ':') AND regexp_matches(text, '^[^\p{L}]*\p{Ll}') THEN 0 ELSE 1 END AS new FROM b),
+ p AS (SELECT *, CAST(sum(new) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS merged, coalesce(lead(new) OVER (PARTITION BY conv_id ORDER BY turn), 1) AS last FROM n)
+ SELECT conv_id, merged, string_agg(CASE WHEN new = 0 AND last = 0 THEN trim(text, ' ') WHEN new = 0 THEN ltrim(text, ' ') WHEN last = 0 THEN rtrim(text, ' ') ELSE text END, ' ' ORDER BY turn) AS text, count(*) AS pieces FROM p GROUP BY ALL""",
+    "word_block_assign": _W + """, o AS (SELECT doc_id, page, CAST(line_no // 5 AS INTEGER) AS source_index, min(x0) * 2 / 1224.0 AS bx0, min(y0) * 2 / 1584.0 AS by0, max(x1) * 2 / 1224.0 AS bx1, max(y1) * 2 / 1584.0 AS by1 FROM words GROUP BY doc_id, page, CAST(line_no // 5 AS INTEGER)),
+ b AS (SELECT * FROM o WHERE (page + source_index) % 4 <> 3 AND (doc_id + page) % 13 <> 0),
+ s AS (SELECT doc_id, page, ix, CAST(x0 AS DOUBLE) / 612.0 AS x0, CAST(x1 AS DOUBLE) / 612.0 AS x1, CAST(y0 + ix % 2 * 9 AS DOUBLE) / 792.0 AS y0, CAST(y1 + ix % 2 * 9 AS DOUBLE) / 792.0 AS y1 FROM words),
  j AS (SELECT s.doc_id, ix, source_index, (x0 + x1) / 2 BETWEEN bx0 AND bx1 AND (y0 + y1) / 2 BETWEEN by0 AND by1 AS inside,
   greatest(least(x1, bx1) - greatest(x0, bx0), 0) * greatest(least(y1, by1) - greatest(y0, by0), 0) / ((x1 - x0) * (y1 - y0)) AS share, (bx1 - bx0) * (by1 - by0) AS area, bx0, by0, bx1, by1 FROM s LEFT JOIN b USING (doc_id, page)),
  r AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY doc_id, ix ORDER BY NOT inside, CASE WHEN inside THEN 0 ELSE -share END, area, bx0, by0, bx1, by1) = 1)
- SELECT doc_id, ix, CASE WHEN inside OR share >= 0.5 THEN source_index END AS source_index FROM r""",
+ SELECT doc_id, CAST(ix AS INTEGER) AS ix, CASE WHEN inside OR share >= 0.5 THEN source_index END AS source_index FROM r""",
+    "points_in_blocks": _W + """, b AS (SELECT doc_id, page, CAST(line_no // 5 AS INTEGER) AS source_index, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM words GROUP BY doc_id, page, CAST(line_no // 5 AS INTEGER)),
+ p AS (SELECT doc_id, page, ix, x1 AS px, y1 + ix % 3 AS py FROM words WHERE ix % 5 = 0)
+ SELECT p.doc_id, CAST(ix AS INTEGER) AS ix, min(source_index) AS source_index FROM p LEFT JOIN b ON b.doc_id = p.doc_id AND b.page = p.page AND px BETWEEN x0 - 1 AND x1 + 1 AND py BETWEEN y0 - 1 AND y1 + 1 GROUP BY ALL""",
     "extras_merged": """WITH t AS (SELECT conv_id, turn, CAST(turn * 37 % 101 AS DOUBLE) AS y0 FROM conversations), f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM t WHERE turn % 2 = 0),
  e AS (SELECT conv_id, turn, CASE WHEN turn % 5 <> 0 THEN y0 END AS y0 FROM t WHERE turn % 2 = 1),
  p AS (SELECT e.*, coalesce((SELECT min(pos) FROM f WHERE f.conv_id = e.conv_id AND f.y0 > e.y0), 2147483647) AS slot FROM e),

@@ -21,11 +21,12 @@ def event_id(*identity: Column) -> Column:
 
 
 def apply_corrections(blocks: DataFrame, corrections: DataFrame, keys: list[str]) -> DataFrame:
-    """Replaces content where an accepted correction has the fingerprint of the present content; later duplicates win."""
-    last = corrections.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("seq")))).where("_r = 1").select(*keys, "corrected", "stored", "status")
+    """Replaces content where the last accepted correction has the fingerprint of the present content; pending and rejected rows
+    play no part."""
+    last = corrections.where("status = 'accepted'").withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("seq")))).where("_r = 1").select(*keys, "corrected", "stored")
     rows = blocks.join(last, keys, "left")
-    hit = (F.col("status") == "accepted") & (F.col("stored") == fingerprint(F.col("content")))
-    return rows.select(*keys, F.when(hit, F.col("corrected")).otherwise(F.col("content")).alias("content"), F.coalesce(hit, F.lit(False)).alias("applied"))
+    hit = F.coalesce(F.col("stored") == fingerprint(F.col("content")), F.lit(False))
+    return rows.select(*keys, F.when(hit, F.col("corrected")).otherwise(F.col("content")).alias("content"), hit.alias("applied"))
 
 
 def apply_decisions(blocks: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,14 +35,14 @@ def apply_decisions(blocks: DataFrame, decisions: DataFrame, keys: list[str]) ->
     return rows.withColumn("content", F.coalesce("_t", "content")).drop("_t")
 
 
-def set_status(corrections: DataFrame, keys: dict[str, object], status: str) -> DataFrame:
-    """UPDATE of one correction's status; an unknown status is an error."""
+def set_status(corrections: DataFrame, keys: dict[str, object], status: str) -> tuple[DataFrame, bool]:
+    """UPDATE of one correction's status, and whether any row matched; an unknown status is an error."""
     if status not in STATUSES:
         raise ValueError(f"unknown status {status}")
     match = F.lit(True)
     for k, v in keys.items():
-        match = match & (F.col(k) == F.lit(v))
-    return corrections.withColumn("status", F.when(match, F.lit(status)).otherwise(F.col("status")))
+        match = match & F.col(k).eqNullSafe(F.lit(v))
+    return corrections.withColumn("status", F.when(match, F.lit(status)).otherwise(F.col("status"))), not corrections.where(match).isEmpty()
 
 
 def changed_keys(before: DataFrame, after: DataFrame, identity: list[str], key: str) -> DataFrame:
@@ -82,12 +83,23 @@ def group_answers(answers: DataFrame, key: str, root: str) -> DataFrame:
     return g.withColumn("rank", F.row_number().over(w)).withColumn("disagreement", F.count(F.lit(1)).over(Window.partitionBy(key)) > 1)
 
 
+#: Verdicts, and those that carry a formula.
+VERDICTS = ("accept", "correct", "uncertain", "not_formula_error")
+
+
 def batch_contract(returned: DataFrame, expected: DataFrame, batch: str) -> DataFrame:
-    """Whether a batch's ids are those expected, each once and in order; anything else rejects the whole batch."""
+    """Whether a batch's answers (pos, id, verdict, latex, confidence) hold: ids are those expected, each once and in order; verdicts
+    are known; a correction has a formula, and no formula has control characters; confidence is from 0 to 1. The first
+    fault rejects the whole batch."""
     ids = lambda df, name: df.groupBy(batch).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias(name))
-    rows = ids(expected, "want").join(ids(returned, "got"), batch, "left")
+    latex = F.coalesce("latex", F.lit(""))
+    bad = returned.groupBy(batch).agg(
+        F.bool_or(~F.coalesce(F.col("verdict").isin(*VERDICTS), F.lit(False))).alias("_verdict"), F.bool_or((F.col("verdict") == "correct") & (F.trim(latex) == "")).alias("_empty"),
+        F.bool_or(latex.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]")).alias("_control"), F.bool_or(~F.coalesce(F.col("confidence").between(0.0, 1.0), F.lit(False))).alias("_confidence"))
+    rows = ids(expected, "want").join(ids(returned, "got"), batch, "left").join(bad, batch, "left")
     got = F.coalesce("got", F.array().cast(rows.schema["want"].dataType))
-    reason = F.when(F.size(F.array_distinct(got)) < F.size(got), "duplicate_id").when((F.size(F.array_except("want", got)) > 0) | (F.size(F.array_except(got, "want")) > 0), "id_set_differs").when(got != F.col("want"), "order_differs")
+    reason = F.when(F.size(F.array_distinct(got)) < F.size(got), "duplicate_id").when((F.size(F.array_except("want", got)) > 0) | (F.size(F.array_except(got, "want")) > 0), "id_set_differs").when(got != F.col("want"), "order_differs") \
+        .when(F.col("_verdict"), "unknown_verdict").when(F.col("_empty"), "empty_correction").when(F.col("_control"), "control_characters").when(F.col("_confidence"), "confidence_out_of_range")
     return rows.select(batch, reason.alias("reason"), reason.isNull().alias("accepted"))
 
 
@@ -100,8 +112,18 @@ def cluster_packages(df: DataFrame, family: str, key: str, severity: str, size:
     return out.select("slug", "chunk", "n", "severities", F.concat("slug", F.lit("-"), F.substring(F.sha2("_m", 256), 1, 10)).alias("cluster_id"))
 
 
-def apply_patches(docs: DataFrame, patches: DataFrame, key: str) -> DataFrame:
-    """Text with non-overlapping [lo, hi) replacements, applied only if the baseline's hash holds and every gate passes.
+def default_gates(before: Column, after: Column) -> dict[str, Column]:
+    """Gates of a patched text: it is not blank, and neither lines with an odd number of dollars, nor local images without a file
+    name, nor known incompatible commands become more (each relative to the text before)."""
+    odd = lambda t: F.size(F.filter(F.split(t, "\n"), lambda x: F.regexp_count(x, F.lit(r"(?<!\\)(?<!\$)\$(?!\$)")) % 2 == 1))
+    hollow = lambda t: F.regexp_count(t, F.lit(r"!\[[^\]]*\]\(\s*\)"))
+    commands = lambda t: F.regexp_count(t, F.lit(r"\\(?:upmu|ensuremath)(?![a-zA-Z])"))
+    return {"nonempty": F.length(F.trim(after)) > 0, "delimiters": odd(after) <= odd(before), "assets": hollow(after) <= hollow(before), "commands": commands(after) <= commands(before)}
+
+
+def apply_patches(docs: DataFrame, patches: DataFrame, key: str, gates=default_gates) -> DataFrame:
+    """Text with non-overlapping [lo, hi) replacements, applied only if the baseline's hash holds and every gate passes: key, text,
+    committed, reason (stale_baseline, or the first gate that fails).
 
     Offsets are fixed on the baseline, so kept and replaced segments are cut independently and joined once.
     """
@@ -109,9 +131,12 @@ def apply_patches(docs: DataFrame, patches: DataFrame, key: str) -> DataFrame:
     rows = docs.join(packed, key, "left").withColumn("_t", F.coalesce("text", F.lit("")))
     done = F.aggregate("_p", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda s, p: F.struct(p["hi"].cast("int").alias("at"), F.concat(s["out"], F.substring(F.col("_t"), s["at"] + 1, p["lo"].cast("int") - s["at"]), p["replacement"]).alias("out")))
     rows = rows.withColumn("_d", F.when(F.col("_h") == F.sha2("_t", 256), done))
-    after = F.concat("_d.out", F.substring(F.col("_t"), F.col("_d.at") + 1, F.length("_t")))
-    gates = (F.length(F.trim(after)) > 0) & (F.regexp_count(after, F.lit(r"\$")) <= F.regexp_count(F.col("_t"), F.lit(r"\$")))
-    return rows.select(key, F.when(gates, after).otherwise(F.col("_t")).alias("text"), F.coalesce(gates, F.lit(False)).alias("committed"))
+    rows = rows.withColumn("_a", F.concat("_d.out", F.substring(F.col("_t"), F.col("_d.at") + 1, F.length("_t"))))
+    reason = F.when(F.col("_h").isNull(), "no_patch").when(F.col("_a").isNull(), "stale_baseline")
+    for name, holds in gates(F.col("_t"), F.col("_a")).items():
+        reason = reason.when(~holds, name)
+    rows = rows.withColumn("reason", reason)
+    return rows.select(key, F.when(F.col("reason").isNull(), F.col("_a")).otherwise(F.col("_t")).alias("text"), F.col("reason").isNull().alias("committed"), "reason")
 
 
 def count_reasons(df: DataFrame, reasons: str) -> DataFrame:
@@ -145,12 +170,33 @@ def _blocks(spark, sf_dir):
 
 
 def corrections_applied(spark, sf_dir):
+    """Two corrections a block, with every pair of states, and some stale fingerprints."""
     blocks = _blocks(spark, sf_dir)
-    status = F.element_at(F.array(*map(F.lit, STATUSES)), (F.col("turn") % 3 + 1).cast("int"))
-    fixes = blocks.select("conv_id", "turn", F.lit(1).alias("seq"), F.concat(F.lit("#"), "content").alias("corrected"), F.when(F.col("conv_id") % 4 != 0, fingerprint(F.col("content"))).otherwise("stale").alias("stored"), status.alias("status"))
+    state = lambda k: F.element_at(F.array(*map(F.lit, STATUSES)), (k % 3 + 1).cast("int"))
+    fix = lambda seq, mark, k, stale: blocks.select("conv_id", "turn", F.lit(seq).alias("seq"), F.concat(F.lit(mark), "content").alias("corrected"), F.when(stale, "stale").otherwise(fingerprint(F.col("content"))).alias("stored"), state(k).alias("status"))
+    fixes = fix(1, "#", F.col("turn"), F.col("conv_id") % 4 == 0).unionByName(fix(2, "##", F.col("conv_id") + F.floor(F.col("turn") / 3), F.col("conv_id") % 5 == 0))
     return apply_corrections(blocks, fixes, ["conv_id", "turn"]).select("conv_id", "turn", "applied", F.sha2("content", 256).alias("digest"))
 
 
+def decisions_applied(spark, sf_dir):
+    blocks = _blocks(spark, sf_dir)
+    chosen = blocks.select("conv_id", "turn", F.when(F.col("turn") % 3 != 0, F.concat(F.lit("> "), "content")).alias("text")).where("conv_id % 4 <> 1")
+    once = apply_decisions(blocks, chosen, ["conv_id", "turn"])
+    return apply_decisions(once, chosen, ["conv_id", "turn"]).select("conv_id", "turn", F.sha2("content", 256).alias("digest"))
+
+
+def carried_states(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    now = e.select("event_id", F.lit("open").alias("status"))
+    prior = e.where("event_id % 3 <> 0").select("event_id", F.when(F.col("event_id") % 2 == 0, "resolved").otherwise("open").alias("status"))
+    return carry_terminal(now, prior, "event_id", ("resolved", "rejected"))
+
+
+def reason_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("bare_op:"), "o_orderstatus", F.lit("|"), F.when(F.col("o_orderkey") % 2 == 0, "bare_op:x").otherwise("render"), F.lit("|"), F.substring("o_orderpriority", 1, 1), F.lit(":p")).alias("reasons"))
+    return count_reasons(rows, "reasons")
+
+
 def stale_reuse(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     now = docs.select("doc_id", F.sha2(damaged(F.col("text"), F.col("doc_id")), 256).alias("fp"))
@@ -173,7 +219,10 @@ def answer_groups(spark, sf_dir):
 
 
 def batch_contracts(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("batch"), F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("pos"))
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("batch"), k.alias("id"), k.alias("pos"), F.when(k % 37 == 0, "maybe").when(k % 4 == 0, "correct").otherwise("accept").alias("verdict"),
+        F.when(k % 53 == 0, " ").when(k % 59 == 0, "a\u0007b").otherwise("x^2").alias("latex"), F.when(k % 61 == 0, 1.5).otherwise(0.9).alias("confidence"))
     got = o.where("batch % 5 <> 1 OR id % 3 <> 0").withColumn("pos", F.when(F.col("batch") % 5 == 2, -F.col("pos")).otherwise(F.col("pos")))
     return batch_contract(got.unionByName(o.where("batch % 5 = 3")), o, "batch")
 
@@ -183,11 +232,13 @@ def package_clusters(spark, sf_dir):
 
 
 def patched_documents(spark, sf_dir):
+    """Patches of whole texts: one that replaces, one that inserts, one that deletes; some on a stale baseline, some that break a gate."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = docs.select("doc_id", F.when(F.col("doc_id") % 9 == 0, "stale").otherwise(F.sha2("text", 256)).alias("baseline_hash"))
-    patch = lambda lo, hi, t: base.select("doc_id", F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(t).alias("replacement"), "baseline_hash")
-    out = apply_patches(docs, patch(0, 3, "<a>").unionByName(patch(5, 5, "<b>")).unionByName(patch(7, 9, "")), "doc_id")
-    return out.select("doc_id", "committed", F.sha2("text", 256).alias("digest"))
+    first = F.when(F.col("doc_id") % 7 == 1, "$").when(F.col("doc_id") % 7 == 2, "![x]()").when(F.col("doc_id") % 7 == 3, "\\upmu ").otherwise("<a>")
+    patch = lambda lo, hi, t: base.select("doc_id", F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), t.alias("replacement"), "baseline_hash")
+    out = apply_patches(docs, patch(0, 3, first).unionByName(patch(5, 5, F.lit("<b>"))).unionByName(patch(7, 9, F.lit(""))).where("doc_id % 10 <> 0"), "doc_id")
+    return out.select("doc_id", "committed", "reason", F.sha2("text", 256).alias("digest"))
 
 
 def owner_spans(spark, sf_dir):
@@ -212,22 +263,32 @@ def event_ids(spark, sf_dir):
     return e.distinct().select("u", "t", event_id(F.col("t"), F.col("u")).alias("id"))
 
 
-QUERIES = {f.__name__: f for f in (corrections_applied, stale_reuse, changed_documents, merged_candidates, answer_groups, batch_contracts, package_clusters, patched_documents, owner_spans, conversation_markdown, fused_formulas, event_ids)}
+QUERIES = {f.__name__: f for f in (corrections_applied, decisions_applied, carried_states, reason_counts, stale_reuse, changed_documents, merged_candidates, answer_groups, batch_contracts, package_clusters, patched_documents, owner_spans, conversation_markdown, fused_formulas, event_ids)}
 
 ORACLE = {
-    "corrections_applied": """WITH b AS (SELECT conv_id, turn, text, turn % 3 = 1 AND conv_id % 4 <> 0 AS applied FROM conversations) SELECT conv_id, turn, applied, sha256(CASE WHEN applied THEN '#' || text ELSE text END) AS digest FROM b""",
+    "corrections_applied": """WITH b AS (SELECT conv_id, turn, text, turn % 3 = 1 AS a1, (conv_id + turn // 3) % 3 = 1 AS a2 FROM conversations),
+ c AS (SELECT *, CASE WHEN a2 THEN CASE WHEN conv_id % 5 <> 0 THEN '##' END WHEN a1 AND conv_id % 4 <> 0 THEN '#' END AS mark FROM b)
+ SELECT conv_id, turn, mark IS NOT NULL AS applied, sha256(coalesce(mark, '') || text) AS digest FROM c""",
+    "decisions_applied": "SELECT conv_id, turn, sha256(CASE WHEN conv_id % 4 <> 1 AND turn % 3 <> 0 THEN '> ' || text ELSE text END) AS digest FROM conversations",
+    "carried_states": "SELECT event_id, CASE WHEN event_id % 3 <> 0 AND event_id % 2 = 0 THEN 'resolved' ELSE 'open' END AS status FROM events",
+    "reason_counts": """WITH r AS (SELECT o_orderkey, 'bare_op' AS reason FROM orders UNION SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'bare_op' ELSE 'render' END FROM orders UNION SELECT o_orderkey, substr(o_orderpriority, 1, 1) FROM orders)
+ SELECT reason, count(*) AS n FROM r GROUP BY reason""",
     "stale_reuse": f"SELECT doc_id, sha256({DAMAGED}) AS fp, sha256({DAMAGED}) = sha256(text) AS reused FROM documents",
     "changed_documents": f"SELECT DISTINCT doc_id FROM documents WHERE {DAMAGED} <> text",
     "merged_candidates": """WITH f AS (SELECT user_id, event_type, min(event_id) AS e FROM events GROUP BY ALL)
  SELECT e.user_id, arg_min(event_type, event_id) FILTER (event_id % 3 = 0) AS field, (SELECT string_agg(event_type, '|' ORDER BY f.e) FROM f WHERE f.user_id = e.user_id) AS reasons, CASE WHEN bool_or(event_id % 50 = 0) THEN 'P1' ELSE 'P2' END AS severity FROM events e GROUP BY e.user_id""",
     "answer_groups": """WITH g AS (SELECT user_id % 40 AS item, event_type AS answer, count(*) AS n, event_type = 'click' AS is_root, array_to_string(list_sort(list(DISTINCT CAST(event_id % 7 AS VARCHAR))), ',') AS supporters FROM events GROUP BY ALL)
  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY is_root DESC, n DESC, answer) AS INTEGER) AS rank, count(*) OVER (PARTITION BY item) > 1 AS disagreement FROM g""",
-    "batch_contracts": """WITH g AS (SELECT o_custkey AS batch, count(*) AS n, count(*) FILTER (o_orderkey % 3 = 0) AS thirds FROM orders GROUP BY 1),
- r AS (SELECT batch, CASE WHEN batch % 5 = 3 THEN 'duplicate_id' WHEN batch % 5 = 1 AND thirds > 0 THEN 'id_set_differs' WHEN batch % 5 = 2 AND n > 1 THEN 'order_differs' END AS reason FROM g) SELECT batch, reason, reason IS NULL AS accepted FROM r""",
+    "batch_contracts": """WITH g AS (SELECT o_custkey AS batch, count(*) AS n, count(*) FILTER (o_orderkey % 3 = 0) AS thirds, bool_or(k % 37 = 0) AS v, bool_or(k % 37 <> 0 AND k % 4 = 0 AND k % 53 = 0) AS e, bool_or(k % 53 <> 0 AND k % 59 = 0) AS c, bool_or(k % 61 = 0) AS f
+   FROM (SELECT *, o_orderkey AS k FROM orders) GROUP BY 1),
+ r AS (SELECT batch, CASE WHEN batch % 5 = 3 THEN 'duplicate_id' WHEN batch % 5 = 1 AND thirds > 0 THEN 'id_set_differs' WHEN batch % 5 = 2 AND n > 1 THEN 'order_differs'
+   WHEN v THEN 'unknown_verdict' WHEN e THEN 'empty_correction' WHEN c THEN 'control_characters' WHEN f THEN 'confidence_out_of_range' END AS reason FROM g) SELECT batch, reason, reason IS NULL AS accepted FROM r""",
     "package_clusters": """WITH s AS (SELECT *, regexp_replace(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug FROM part), r AS (SELECT *, (row_number() OVER (PARTITION BY slug ORDER BY p_partkey) - 1) // 8 AS chunk FROM s)
  SELECT slug, chunk, count(*) AS n, array_to_string(list_sort(list(DISTINCT p_brand)), ',') AS severities, slug || '-' || substr(sha256(string_agg(CAST(p_partkey AS VARCHAR), '|' ORDER BY p_partkey)), 1, 10) AS cluster_id FROM r GROUP BY slug, chunk""",
-    "patched_documents": """WITH p AS (SELECT doc_id, text, '<a>' || substr(text, 4, 2) || '<b>' || substr(text, 6, 2) || substr(text, 10) AS new FROM documents),
- g AS (SELECT *, doc_id % 9 <> 0 AND length(trim(new, ' ')) > 0 AND length(new) - length(replace(new, '$', '')) <= length(text) - length(replace(text, '$', '')) AS ok FROM p) SELECT doc_id, ok AS committed, sha256(CASE WHEN ok THEN new ELSE text END) AS digest FROM g""",
+    "patched_documents": r"""WITH p AS (SELECT doc_id, text, CASE doc_id % 7 WHEN 1 THEN '$' WHEN 2 THEN '![x]()' WHEN 3 THEN '\upmu ' ELSE '<a>' END || substr(text, 4, 2) || '<b>' || substr(text, 6, 2) || substr(text, 10) AS new FROM documents),
+ o AS (SELECT *, len(list_filter(string_split(new, chr(10)), lambda x: len(list_filter(regexp_extract_all(replace(x, '\$', ''), '\$+'), lambda d: d = '$')) % 2 = 1)) AS a, len(list_filter(string_split(text, chr(10)), lambda x: len(list_filter(regexp_extract_all(replace(x, '\$', ''), '\$+'), lambda d: d = '$')) % 2 = 1)) AS b FROM p),
+ g AS (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 'no_patch' WHEN doc_id % 9 = 0 THEN 'stale_baseline' WHEN length(trim(new, ' ')) = 0 THEN 'nonempty' WHEN a > b THEN 'delimiters' WHEN doc_id % 7 = 2 THEN 'assets' WHEN doc_id % 7 = 3 THEN 'commands' END AS reason FROM o)
+ SELECT doc_id, reason IS NULL AS committed, reason, sha256(CASE WHEN reason IS NULL THEN new ELSE text END) AS digest FROM g""",
     "owner_spans": """WITH r AS (SELECT DISTINCT l_orderkey AS page, CAST(l_linenumber % 5 AS INTEGER) AS block_id FROM lineitem),
  g AS (SELECT r.page, r.block_id, count(DISTINCT l_linenumber) AS n, min(l_linenumber) * 10 AS a FROM r LEFT JOIN lineitem l ON l.l_orderkey = r.page AND l.l_linenumber % 4 = r.block_id GROUP BY ALL)
  SELECT page, block_id, CASE WHEN n = 1 THEN a END AS span_start, CASE WHEN n = 1 THEN a + 8 END AS span_end, CASE WHEN n = 1 THEN 'ok' ELSE 'blocker:unlocatable_md_owner' END AS route FROM g""",

@@ -62,7 +62,7 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def citations(pages: DataFrame, key: str, html: str, prop: str) -> DataFrame:
-    """Repeated <tr itemprop=...> rows of a page: number, date, assignee, title as text without tags."""
+    """Repeated <tr itemprop=...> rows of a page: number, dates, assignee, title as text without tags; a missing field is empty."""
     rows = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(rf'(?s)<tr[^>]*itemprop="{prop}"[^>]*>(.*?)</tr>'), F.lit(1))).alias("pos", "r"))
-    field = lambda name: F.trim(F.regexp_replace(F.regexp_extract("r", rf'(?s)itemprop="{name}"[^>]*>(.*?)</', 1), "<[^>]*>", ""))
-    return rows.select(key, "pos", field("publicationNumber").alias("number"), field("priorityDate").alias("priority"), field("assigneeOriginal").alias("assignee"), field("title").alias("title"))
+    field = lambda name: F.trim(F.regexp_replace(F.regexp_extract("r", rf'(?s)<(\w+)[^>]*itemprop="{name}"[^>]*>(.*?)</\1>', 2), "<[^>]*>", ""))
+    return rows.select(key, "pos", field("publicationNumber").alias("number"), field("priorityDate").alias("priority"), field("publicationDate").alias("publication"), field("assigneeOriginal").alias("assignee"), field("title").alias("title"))

@@ -39,14 +39,3 @@ def words(docs: DataFrame) -> DataFrame:
 WORDS = r"""words AS (SELECT doc_id, ix, word, CAST(ix // 600 AS INTEGER) AS page, CAST((ix % 600) // 12 AS INTEGER) AS line_no,
   72.0 + (ix % 12) * 40 AS x0, 102.0 + (ix % 12) * 40 AS x1, 60.0 + ((ix % 600) // 12) * 14 AS y0, 68.0 + ((ix % 600) // 12) * 14 AS y1
  FROM (SELECT doc_id, unnest(range(len(ws))) AS ix, unnest(ws) AS word FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ') AS ws FROM documents)) WHERE word <> '')"""
-
-
-def intervals(events: DataFrame) -> DataFrame:
-    """doc, id, lo, hi: spans of a user's events, some of length zero."""
-    return events.select(
-        F.col("user_id").alias("doc"), F.col("event_id").alias("id"), (F.col("event_id") % 97).alias("lo"),
-        (F.col("event_id") % 97 + F.pmod(F.floor("value").cast("long"), F.lit(5))).alias("hi"),
-    )
-
-
-INTERVALS = """spans AS (SELECT user_id AS doc, event_id AS id, event_id % 97 AS lo, event_id % 97 + ((CAST(floor(value) AS BIGINT) % 5) + 5) % 5 AS hi FROM events)"""
