@@ -20,14 +20,20 @@ _OWN_DIR: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is unset (a local session, as in tests) is a temporary folder made.
+    Only where that setting is unset and the session is local, as in tests, is a temporary folder made; on a cluster a
+    missing setting is an error. The folder goes when the session's JVM ends.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _OWN_DIR:
             _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="folioforge-"))
         base = _OWN_DIR[0]
-    return f"{base.rstrip('/')}/folioforge-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/folioforge-{uuid.uuid4().hex}"
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(gone)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -54,6 +60,24 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+class Grown:
+    """An array that grows by half at least."""
+
+    def __init__(self, kind):
+        self.store, self.n = np.zeros(1 << 12, dtype=kind), 0
+
+    def add(self, x: np.ndarray) -> None:
+        n = self.n + len(x)
+        if n > len(self.store):
+            self.store = np.concatenate([self.store[: self.n], np.zeros(max(n, 3 * len(self.store) // 2) - self.n, dtype=self.store.dtype)])
+        self.store[self.n : n] = x
+        self.n = n
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.store[: self.n]
+
+
 def bin_values(col: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else pa.binary()
@@ -92,7 +116,10 @@ def widened(fields: list, **more: str) -> StructType:
 
 
 def map_text(df: DataFrame, text: str, f: Callable, schema: str | StructType) -> DataFrame:
-    """mapInArrow over parts of bounded text size; f(batch) -> RecordBatch."""
+    """mapInArrow over parts of bounded text size; f(batch) -> RecordBatch.
+
+    The result is lazy, so the size of Arrow batches is set on the session and stays set.
+    """
 
     def run(batches):
         for batch in batches:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text
+from .common import Grown, map_text
 
 DEFAULT_FILE = "piece_bpe_32k.model"
 SAMPLES = 2
@@ -86,24 +86,6 @@ class _Classes:
         return ranked[: self.MOST] + [rest] * bool(rest)
 
 
-class _Grown:
-    """An array that grows by half at least."""
-
-    def __init__(self, kind):
-        self.store, self.n = np.zeros(1 << 12, dtype=kind), 0
-
-    def add(self, x: np.ndarray) -> None:
-        n = self.n + len(x)
-        if n > len(self.store):
-            self.store = np.concatenate([self.store[: self.n], np.zeros(max(n, 3 * len(self.store) // 2) - self.n, dtype=self.store.dtype)])
-        self.store[self.n : n] = x
-        self.n = n
-
-    @property
-    def all(self) -> np.ndarray:
-        return self.store[: self.n]
-
-
 class Vocabulary:
     """Pieces as a trie in arrays, their weights and their bytes."""
 
@@ -182,7 +164,7 @@ class Lattices(dict):
         self.clear()
         self.names, self.done = [], 0
         # first: of each node, edges of earlier nodes, and one more at the end; node: of each edge.
-        self.grown = {c: _Grown(k) for c, k in (("start", np.int64), ("ends", bool), ("first", np.int64), ("target", np.int32), ("code", np.int32), ("logp", float), ("cdf", float), ("node", np.int32), ("seen", np.int32))}
+        self.grown = {c: Grown(k) for c, k in (("start", np.int64), ("ends", bool), ("first", np.int64), ("target", np.int32), ("code", np.int32), ("logp", float), ("cdf", float), ("node", np.int32), ("seen", np.int32))}
         self._add(**{c: x.all for c, x in self.grown.items()})
         self._add(first=np.zeros(1, dtype=np.int64))
 

@@ -12,6 +12,8 @@ import os
 
 import numpy as np
 
+from .common import Grown
+
 DEFAULT_FILE = "word_bpe_49k.json"
 
 
@@ -41,9 +43,10 @@ def apart(text: bytes) -> list[bytes]:
 
 
 class WordIds(dict):
-    """Word in UTF-8 -> index into a flat store of ids. New words wait in `fresh` and are encoded together."""
+    """Word in UTF-8 -> its number; where a word's ids begin in a flat store, and how many. New words wait in `fresh` and are
+    encoded together."""
 
-    LIMIT = 400_000
+    LIMIT = 600_000
     JOIN = 200
 
     def __init__(self, path: str):
@@ -60,40 +63,41 @@ class WordIds(dict):
     def _empty(self) -> None:
         self.clear()
         self.fresh: list[bytes] = []
-        self.ids, self.start = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.ids, self.start, self.size = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
 
     def __missing__(self, word: bytes) -> int:
         i = self[word] = len(self)
         self.fresh.append(word)
         return i
 
-    def _one_by_one(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
     def _encode_fresh(self) -> None:
         """Words of letters are encoded many to a call and told apart by the pieces that end a word; the rest singly."""
         words = [w.decode(errors="replace") for w in self.fresh]
-        found: list[np.ndarray | None] = [None] * len(words)
-        plain = [i for i, w in enumerate(words) if w.isalpha() and w.lower().isalpha()]
+        start, size = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        rest = [i for i, w in enumerate(words) if not (w.isalpha() and w.lower().isalpha())]
+        plain = np.delete(np.arange(len(words)), rest)
         groups = [plain[k : k + self.JOIN] for k in range(0, len(plain), self.JOIN)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(words[i] for i in g) for g in groups], add_special_tokens=False)
+        joined = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in g.tolist()]) for g in groups], add_special_tokens=False)
         for g, x in zip(groups, joined, strict=True):
             ids = np.array(x.ids, dtype=np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(g) and ends[-1] == len(ids):
-                for i, own in zip(g, np.split(ids, ends[:-1]), strict=True):
-                    found[i] = own
-        rest = [i for i, x in enumerate(found) if x is None]
-        for i, own in zip(rest, self._one_by_one([words[i] for i in rest]), strict=True):
-            found[i] = own
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-        self.ids = np.concatenate([self.ids, *found])
+                size[g] = np.diff(ends, prepend=0)
+                start[g] = self.ids.n + ends - size[g]
+                self.ids.add(ids)
+            else:
+                rest += g.tolist()
+        for i, x in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+            own = np.array(x.ids, dtype=np.uint32)
+            start[i], size[i] = self.ids.n, len(own)
+            self.ids.add(own)
+        self.start.add(start)
+        self.size.add(size)
         self.fresh = []
 
     def encode(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each followed by end_id, as uint32, and where each text's ids end."""
-        if len(self) > self.LIMIT or len(self.ids) > 16 * self.LIMIT:
+        if len(self) > self.LIMIT or self.ids.n > 12 * self.LIMIT:
             self._empty()
         words, counts = [], []
         for x in texts:
@@ -103,11 +107,13 @@ class WordIds(dict):
         at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         if self.fresh:
             self._encode_fresh()
-        start, store = self.start, np.append(self.ids, np.uint32(end_id))
+        end_at = self.ids.n
+        self.ids.add(np.array([end_id], dtype=np.uint32))
+        store = self.ids.all
+        self.ids.n = end_at
         # A text's end is one more "word", whose id is the last of the store.
         ends = np.cumsum(counts, dtype=np.int64)
-        lo, n = start[at], start[at + 1] - start[at]
-        lo, n = np.insert(lo, ends, len(store) - 1), np.insert(n, ends, 1)
+        lo, n = np.insert(self.start.all[at], ends, end_at), np.insert(self.size.all[at], ends, 1)
         total = np.cumsum(n)
         flat = store[np.repeat(lo - total + n, n) + np.arange(total[-1] if len(total) else 0)]
         return flat, total[ends + np.arange(len(ends))]
