@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+_SIDE = 0x5555555555555555
+
 
 def _with_least(pairs: DataFrame) -> DataFrame:
-    """Joins each pair (u, v) with the least of u and its neighbours; the join is one that Spark may split where a node has very many."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return pairs.join(least, F.col("u") == F.col("w")).drop("w")
+    """Joins each pair (u, v) with the least of u and its neighbours. Joined by another expression than it was summed by, each side
+    gets an exchange of its own, which Spark may split where a node has very many."""
+    side = F.col("u").bitwiseXOR(F.lit(_SIDE))
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(side.alias("w"), F.least("u", "m").alias("m"))
+    return pairs.withColumn("w", side).join(least, "w").drop("w")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node of an edge (u, v): root is the least node reachable.
+    """node, root for every node of an edge (u, v), neither null: root is the least node reachable. No edges give no rows.
 
     Each round rewrites the edges so that nodes hang on smaller ones and writes them to the shared
     folder; a logarithmic number of rounds leaves stars. Only counts reach the driver. Edges never

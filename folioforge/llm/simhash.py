@@ -3,26 +3,34 @@
 A fingerprint's bit is set where over half of the hashes of the document's word shingles set it.
 Documents link where fingerprints differ in at most RADIUS bits; a component is what links reach.
 
-Search. Only distinct fingerprints are searched. The 64 bits are cut into RADIUS + 1 blocks; two linked
-fingerprints agree in at least one block, so every pair meets in a unit keyed by (block, its bits), and
-units are what the cluster deals out. Inside a unit fingerprints are sorted by Gray rank, where neighbours
-share leading bits, and a tree is built over them: a node holds the mask and the value of the bits that all
-its members share. Two trees (or one with itself) are searched from the top: a pair of nodes is
-dropped, with all pairs below it, once the shared bits alone differ in more than RADIUS places; it is
-accepted whole once the shared bits' differences and all unshared bits together are RADIUS or fewer; a
-pair whose members are already in one component is not opened. A unit returns a forest (an edge for
-each member at most), never its pairs.
+Search. Only distinct fingerprints are searched. The 64 bits are cut into BLOCKS blocks; two linked
+fingerprints differ in at most RADIUS of them and agree in the others, so every pair meets in a unit keyed by
+some BLOCKS - RADIUS blocks and their bits (21 or 22 bits), and units are what the cluster deals out. Inside a
+unit fingerprints are sorted by Gray rank, where neighbours share leading bits, and a tree is built over them: a
+node holds the mask and the value of the bits that all its members share. A tree with itself, or two of them, are
+searched from the top: a pair of nodes is dropped, with all pairs below it, once the shared bits alone differ
+in more than RADIUS places; it is accepted whole once the shared bits' differences and all unshared bits
+together are RADIUS or fewer; a pair whose members are already in one component is not opened. The trees of all
+units of a batch are built and searched together, level by level, whatever the units' sizes. A unit returns a
+forest (an edge for each member at most), never its pairs.
 
 Hot units. A unit of more than UNIT fingerprints is dealt in slices, and every two slices meet in a unit
 of their own; no unit holds more than two slices, and no link is lost.
 
-Defined results: a null, empty or blank text has fingerprint zero, which links like any other; fewer words
+Copies of a row: one for each of the 15 unit keys, at any input size, as long as units hold UNIT fingerprints or
+fewer, which they do on average up to eight thousand million distinct ones; above, slices add copies.
+
+Defined results: very long texts are hashed in steps of bounded memory; ties do not arise, since a component's
+identifier is its smallest; columns of the input other than the identifier and the text play no part and may
+have any name; a null, empty or blank text has fingerprint zero, which links like any other; fewer words
 than a shingle make one shingle of all words; component_id is the smallest non-null doc_id reachable
 (null if there is none); rows that repeat get the same component; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -37,11 +45,15 @@ SHINGLE = 4
 HASH_SEED = 42
 UNIT = 4096
 FAN = 8
+BLOCKS = 6
+#: Hot unit keys are broadcast up to this number (16 MB), and joined by a shuffle beyond it.
+BROADCAST_ROWS = 1 << 20
 #: Wide fingerprints, for similarities that 64 bits cannot tell from chance.
 WIDE, WIDE_RADIUS, TABLES, SAMPLE_BITS = 4, 56, 54, 14
 #: Least Jaccard similarity of two similar texts, as a fraction, and the shingles that a slice of a component holds (8 MB).
 SIMILAR, SLICE = (4, 5), 1 << 20
 _PAIRS = 1 << 19
+_SIDE = 0x5555555555555555
 
 
 def shingle_digests(text: bytes | None, shingle: int = SHINGLE) -> list[bytes]:
@@ -112,22 +124,26 @@ def _ones(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).sum(axis=1, dtype=np.int64)
 
 
-class GrayTree:
-    """Levels of (shared mask, shared value, first member, past last member), leaves first; members in Gray order.
-    Codes are rows of 64-bit words, ordered by their words' Gray ranks."""
+class GrayTrees:
+    """A Gray tree for each group of codes, all in the same levels, leaves first: the mask and the value that a node's
+    members share, its first member and past its last, its first child and past its last. Groups are numbered from 0 and
+    none is empty; at the top, node g is all of group g. Codes are rows of 64-bit words, ordered by their words' Gray ranks."""
 
-    def __init__(self, codes: np.ndarray):
-        self.order = np.lexsort([gray_rank(codes[:, j]) for j in range(codes.shape[1])][::-1])
+    def __init__(self, codes: np.ndarray, group: np.ndarray):
+        self.order = np.lexsort([*(gray_rank(codes[:, j]) for j in range(codes.shape[1]))][::-1] + [group])
         codes = codes[self.order]
-        n = len(codes)
-        at = np.arange(n)
-        self.levels = [(np.full(codes.shape, ~np.uint64(0)), codes, at, at + 1)]
-        while len(self.levels[-1][0]) > 1:
-            mask, value, lo, hi = self.levels[-1]
-            cut = np.arange(0, len(mask), FAN)
-            first = np.repeat(value[cut], np.diff(np.append(cut, len(mask))), axis=0)
-            shared = np.bitwise_and.reduceat(mask & ~(value ^ first), cut, axis=0)
-            self.levels.append((shared, value[cut] & shared, lo[cut], np.append(hi[cut[1:] - 1], hi[-1])))
+        at = np.arange(len(codes))
+        size = np.bincount(group)
+        self.levels = [(np.full(codes.shape, ~np.uint64(0)), codes, at, at + 1, at, at)]
+        while size.max(initial=0) > 1:
+            mask, value, lo, hi, _, _ = self.levels[-1]
+            start = np.cumsum(size) - size
+            size = -(-size // FAN)
+            own = np.repeat(np.arange(len(size)), size)
+            cut = start[own] + (np.arange(len(own)) - (np.cumsum(size) - size)[own]) * FAN
+            end = np.append(cut[1:], len(mask))
+            shared = np.bitwise_and.reduceat(mask & ~(value ^ np.repeat(value[cut], end - cut, axis=0)), cut, axis=0)
+            self.levels.append((shared, value[cut] & shared, lo[cut], hi[end - 1], cut, end))
 
 
 class Forest:
@@ -171,61 +187,54 @@ def to_least(u: np.ndarray, v: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray,
     return ids[other], to[other]
 
 
-def join_trees(left: GrayTree, right: GrayTree | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (member, member whose label it has) of a forest over links between two trees, or inside one. Members count
-    in the order in which codes were given, those of the right tree after those of the left."""
-    own = right is None
-    right = right or left
-    bits = 64 * left.levels[0][1].shape[1]
-    shift = 0 if own else len(left.order)
-    forest = Forest(len(left.order) + (0 if own else len(right.order)))
-    top, rtop = len(left.levels) - 1, len(right.levels) - 1
-    stack = [(top, rtop, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
+def join_trees(trees: GrayTrees, a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (member, member whose label it has) of a forest over all links between groups a[i] and b[i] (a[i] <= b[i]; a group
+    with itself where they are equal). Members count in the order in which codes were given."""
+    bits = 64 * trees.levels[0][1].shape[1]
+    forest = Forest(len(trees.order))
+    stack = [(len(trees.levels) - 1, a, b)]
     while stack:
-        i, j, a, b = stack.pop()
-        lm, lv, llo, lhi = left.levels[i]
-        rm, rv, rlo, rhi = right.levels[j]
-        both = lm[a] & rm[b]
-        apart = _ones((lv[a] ^ rv[b]) & both)
+        level, a, b = stack.pop()
+        mask, value, lo, hi, child, past = trees.levels[level]
+        both = mask[a] & mask[b]
+        apart = _ones((value[a] ^ value[b]) & both)
         near = apart <= radius
         a, b, both, apart = a[near], b[near], both[near], apart[near]
         whole = apart + bits - _ones(both) <= radius
         if whole.any():
             x, y = a[whole], b[whole]
-            for lo, hi, to in ((llo[x], lhi[x], rlo[y] + shift), (rlo[y] + shift, rhi[y] + shift, llo[x])):
-                reps = hi - lo
-                u = np.repeat(lo - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-                forest.link(u, np.repeat(to, reps))
+            for first, last, to in ((lo[x], hi[x], lo[y]), (lo[y], hi[y], lo[x])):
+                reps = last - first
+                forest.link(np.repeat(first - np.cumsum(reps) + reps, reps) + np.arange(reps.sum()), np.repeat(to, reps))
             a, b = a[~whole], b[~whole]
-        if not len(a) or (i == 0 and j == 0):
+        if not level or not len(a):
             continue
-        la, lb = forest.one(llo, lhi)[a], forest.one(rlo + shift, rhi + shift)[b]
-        todo = (la < 0) | (la != lb)
+        of = forest.one(lo, hi)
+        todo = (of[a] < 0) | (of[a] != of[b])
         a, b = a[todo], b[todo]
-        if not len(a):
-            continue
-        down_l, down_r = i >= j, j >= i
-        ni, nj = i - down_l, j - down_r
-        ca = a[:, None] * FAN + np.arange(FAN) if down_l else a[:, None]
-        cb = b[:, None] * FAN + np.arange(FAN) if down_r else b[:, None]
-        step = max(1, _PAIRS // (ca.shape[1] * cb.shape[1]))
+        step = _PAIRS // FAN**2
         for s in range(0, len(a), step):
-            x = np.repeat(ca[s : s + step], cb.shape[1], axis=1).ravel()
-            y = np.tile(cb[s : s + step], (1, ca.shape[1])).ravel()
-            ok = (x < len(left.levels[ni][0])) & (y < len(right.levels[nj][0]))
-            if own:
-                ok &= x <= y
+            x = np.repeat(child[a[s : s + step], None] + np.arange(FAN), FAN, axis=1)
+            y = np.tile(child[b[s : s + step], None] + np.arange(FAN), (1, FAN))
+            ok = (x < past[a[s : s + step], None]) & (y < past[b[s : s + step], None]) & (x <= y)
             if ok.any():
-                stack.append((ni, nj, x[ok], y[ok]))
-    given = left.order if own else np.concatenate([left.order, right.order + shift])
-    linked = np.flatnonzero(forest.label != np.arange(len(given)))
-    return given[linked], given[forest.label[linked]]
+                stack.append((level - 1, x[ok], y[ok]))
+    linked = np.flatnonzero(forest.label != np.arange(len(trees.order)))
+    return trees.order[linked], trees.order[forest.label[linked]]
 
 
-def block_keys(radius: int = RADIUS) -> list[Column]:
-    """Unit keys of one-word fingerprints: the bits of radius + 1 blocks, one of which two linked fingerprints share."""
-    ends = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [F.shiftrightunsigned("w0", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(ends, ends[1:], strict=False)]
+def block_keys(radius: int = RADIUS, blocks: int = BLOCKS) -> list[Column]:
+    """Unit keys of one-word fingerprints: the bits of each choice of blocks - radius blocks, one of which two linked fingerprints
+    share."""
+    ends = [64 * i // blocks for i in range(blocks + 1)]
+    bits = [(F.shiftrightunsigned("w0", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1)), hi - lo) for lo, hi in zip(ends, ends[1:], strict=False)]
+    out = []
+    for chosen in combinations(bits, blocks - radius):
+        key = F.lit(0).cast("long")
+        for part, width in chosen:
+            key = F.shiftleft(key, width).bitwiseOR(part)
+        out.append(key)
+    return out
 
 
 def bit_samples() -> np.ndarray:
@@ -282,36 +291,28 @@ def _units(radius: int, words: int):
             yield from found(rest, [0, len(rest[0])])
 
     def found(rows, cut):
-        us, vs = [], []
-        codes = np.stack(rows[5:], axis=1).view(np.uint64)
-        for s, e in zip(cut, cut[1:], strict=False):
-            if e - s < 2:
-                continue
-            fp, ids, side = codes[s:e], rows[4][s:e], rows[3][s:e]
-            if rows[1][s] != rows[2][s]:
-                order = np.argsort(side, kind="stable")
-                n = int((side == 0).sum())
-                if not n or n == e - s:
-                    continue
-                fp, ids = fp[order], ids[order]
-                u, v = join_trees(GrayTree(fp[:n]), GrayTree(fp[n:]), radius)
-            elif e - s < 48:  # a small unit is a single leaf level
-                i, j = np.triu_indices(e - s, 1)
-                near = _ones(fp[i] ^ fp[j]) <= radius
-                u, v = i[near], j[near]
-                if len(u) > 1:
-                    forest = Forest(e - s)
-                    forest.link(u, v)
-                    u = np.flatnonzero(forest.label != np.arange(e - s))
-                    v = forest.label[u]
-            else:
-                u, v = join_trees(GrayTree(fp), None, radius)
-            if len(u):
-                u, v = to_least(u, v, ids)
-                us.append(u)
-                vs.append(v)
-        if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (us, vs)], ["u", "v"])
+        if len(cut) < 2:
+            return
+        rows = [z[: cut[-1]] for z in rows]
+        _, x, y, side, ids = rows[:5]
+        size = np.diff(cut)
+        unit = np.repeat(np.arange(len(size)), size)
+        cross = x != y
+        # A group is a unit, or either side of one where two slices meet; units of one row or one side have no pairs.
+        half = unit * 2 + np.where(cross, side, 0)
+        here = np.unique(half)
+        pair = here[(here % 2 == 0) & np.isin(here + 1, here)]
+        alone = np.flatnonzero(~cross[np.asarray(cut[:-1])] & (size > 1)) * 2
+        left, right = np.concatenate([alone, pair]), np.concatenate([alone, pair + 1])
+        wanted = np.isin(half, np.concatenate([left, right]))
+        if not wanted.any():
+            return
+        groups, group = np.unique(half[wanted], return_inverse=True)
+        codes = np.stack([z[wanted] for z in rows[5:]], axis=1).view(np.uint64)
+        u, v = join_trees(GrayTrees(codes, group), np.searchsorted(groups, left), np.searchsorted(groups, right), radius)
+        if len(u):
+            u, v = to_least(u, v, ids[wanted])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return run
 
@@ -323,9 +324,8 @@ def link_edges(fps: DataFrame, keys: list[Column], radius: int = RADIUS, words:
     tagged = F.array(*[F.lit(t).cast("long") * (1 << 40) + k for t, k in enumerate(keys)])
     rows = fps.select("id", *code, F.explode(tagged).alias("k"))
     hot = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > unit)
-    hot = hot.select("k", F.ceil(F.col("n") / unit).cast("int").alias("c"))
-    # A key has at most 14 bits, so hot has at most 16,384 rows of 12 bytes a table at any input size.
-    rows = rows.join(F.broadcast(hot), "k", "left").withColumn("c", F.coalesce("c", F.lit(1)))
+    hot = materialize(hot.select("k", F.ceil(F.col("n") / unit).cast("int").alias("c")))
+    rows = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot, "k", "left").withColumn("c", F.coalesce("c", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("c")).cast("int"))
     rows = rows.select("k", "id", *code, "own", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other"))
     rows = rows.select("k", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "id", *code)
@@ -338,12 +338,15 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, radius: in
     code = [f"w{j}" for j in range(words)]
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     rows = materialize(with_fingerprint(rows, "text", shingle, words)).withColumn("id", F.col("w0") if words == 1 else F.xxhash64(*code))
-    distinct = rows.groupBy("id", *code).agg(F.min("doc_id").alias("_least"))
-    fps = distinct.select("id", *code)
+    # Wide codes go by a 64-bit id: two that share one by chance (2.7 pairs among 10^10) count as one candidate.
+    distinct = rows.groupBy("id").agg(F.min(F.struct(*code)).alias("_c"), F.min("doc_id").alias("_least"))
+    fps = distinct.select("id", "_c.*")
     linked = components(link_edges(fps, block_keys(radius), radius) if words == 1 else link_edges(with_samples(fps), wide_keys(), radius, words))
     named = distinct.join(linked, distinct["id"] == linked["node"], "left").select("id", "_least", F.coalesce("root", "id").alias("root"))
-    least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = named.join(least, "root").select("id", "root", "component_id")
+    # Joined by another expression than it was summed by, each side gets an exchange of its own, which Spark may split where a root is hot.
+    side = F.col("root").bitwiseXOR(F.lit(_SIDE))
+    least = named.groupBy("root").agg(F.min("_least").alias("component_id")).select(side.alias("r"), "component_id")
+    named = named.withColumn("r", side).join(least, "r").select("id", "root", "component_id")
     return rows.join(named, "id").select("doc_id", "text_hash", *code, "root", "component_id")
 
 
