@@ -18,7 +18,9 @@ least WINDOW words are exactly the runs of matching windows; their union is remo
 
 Hashes: two independent 64-bit polynomials over bytes and over words.
 
-Defined results: words are split at ASCII white space and kept unchanged; a null text has no words; rows with
+Defined results: a very long text is parsed whole, in memory of a multiple of its size; of documents with a window in common
+the one with the smallest identifier keeps it, and a document's own repeats stay; extra columns may have any name, also
+those used inside; words are split at ASCII white space and kept unchanged; a null text has no words; rows with
 a null doc_id are neither changed nor a reference; rows with the same doc_id are no reference to each other;
 an empty table gives no rows.
 """
@@ -36,6 +38,7 @@ from .common import bin_values, map_text, materialize, widened
 
 WINDOW = 50
 SEED = 8
+STRETCH = 64
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _U = np.uint64
 _SIDE = 0x5555555555555555
@@ -53,17 +56,30 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def _word_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit hashes of each word: polynomials over its bytes, all words' k-th bytes at once, longest words first."""
+    """Two 64-bit hashes of each word: polynomials over its bytes."""
+    return [_mix(_polynomial(data, start, size, _U(m))) for m in _MULTIPLIERS]
+
+
+def _polynomial(values: np.ndarray, start: np.ndarray, size: np.ndarray, m: np.uint64) -> np.ndarray:
+    """Polynomials over stretches of values, all stretches' k-th values at once, longest first. A stretch of over STRETCH values is
+    one over the polynomials of its parts of that size, so steps grow with the logarithm of the longest."""
+    out = np.empty(len(size), dtype=_U)
+    long = size > STRETCH
+    if long.any():
+        parts = -(-size[long] // STRETCH)
+        own = np.repeat(np.arange(len(parts)), parts)
+        k = np.arange(len(own)) - (np.cumsum(parts) - parts)[own]
+        inner = _polynomial(values, start[long][own] + k * STRETCH, np.minimum(size[long][own] - k * STRETCH, STRETCH), m)
+        out[long] = _polynomial(inner, np.cumsum(parts) - parts, parts, m) * m + size[long].astype(_U)
+        start, size = start[~long], size[~long]
     order = np.argsort(-size, kind="stable")
-    at = start[order]
-    left = np.searchsorted(-size[order], -np.arange(1, (size.max() if len(size) else 0) + 1), side="right")
-    one, two = size[order].astype(_U), size[order].astype(_U)
+    at, sums = start[order], size[order].astype(_U)
+    left = np.searchsorted(-size[order], -np.arange(1, size.max(initial=0) + 1), side="right")
     for k, n in enumerate(left.tolist()):
-        byte = data[at[:n] + k]
-        one[:n] = one[:n] * _U(_MULTIPLIERS[0]) + byte
-        two[:n] = two[:n] * _U(_MULTIPLIERS[1]) + byte
-    out = [np.empty_like(one), np.empty_like(two)]
-    out[0][order], out[1][order] = _mix(one), _mix(two)
+        sums[:n] = sums[:n] * m + values[at[:n] + k]
+    short = np.empty_like(sums)
+    short[order] = sums
+    out[~long] = short
     return out
 
 

@@ -7,13 +7,14 @@ products are the smallest distances, and the triangle inequality over a pivot p,
 
 Index. Pivots are PIVOTS vectors, farthest first, out of a sample of SAMPLE rows (the one bounded sample). Every
 vector is keyed by its nearest pivot and its distance to it; the rows are range-sorted by that key into
-parts of like size, whatever one vector's or pivot's share, and written as a table. Within a part, stretches
+parts of at most about PART_CELLS components, whatever one vector's or pivot's share, and written as a table. Within a part, stretches
 of ANNULUS rows of a pivot are annuli with an inner and an outer radius.
 
 Search. A query first searches the part with the best bound and gets a k-th score. It then visits only parts
 whose bound reaches that score, and in each expands annuli from the best bound on, until no bound reaches
 its k-th score so far. Bounds are compared with a slack for rounding and ties are visited, so results
-are exact. Queries and parts meet by key, queries in blocks; the best k of each part are merged.
+are exact. Queries and parts meet by key, queries in blocks, and a part travels only to blocks with a query that asks for it; the
+best k of each part are merged.
 
 Defined results: rows with a null identifier, a null vector or a null or non-finite component take no part;
 shorter vectors count as padded with zeros; a query skips all rows of its own identifier; repeated rows are
@@ -37,6 +38,8 @@ PIVOTS = 32
 SAMPLE = 2000
 ANNULUS = 256
 QUERY_BLOCK = 8192
+#: Components of the vectors that a part holds (32 MB as integers), whatever the input's size.
+PART_CELLS = 1 << 22
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -134,7 +137,12 @@ def search(space: Space, pivot: np.ndarray, dist: np.ndarray, ids: np.ndarray, x
 
 def _visit(index: DataFrame, asked: DataFrame, space, k: int, blocks: int) -> DataFrame:
     """Searches each part for the queries that asked for it: query_id, qh, vec_id, score."""
-    parts = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else index.withColumn("block", F.lit(0))
+    if blocks > 1:
+        asked = materialize(asked)
+        wanted = asked.groupBy(F.col("part").alias("_p")).agg(F.collect_set("block").alias("_b"))
+        parts = index.join(wanted, F.col("part") == F.col("_p")).withColumn("block", F.explode("_b")).drop("_p", "_b")
+    else:
+        parts = index.withColumn("block", F.lit(0))
 
     def f(part: pa.Table, asks: pa.Table) -> pa.Table:
         if not part.num_rows or not asks.num_rows:
@@ -155,7 +163,7 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", eve
     spark = df.sparkSession
     rows = integer_vectors(df, id_col, vec_col, scale)
     norm = "aggregate(v, 0D, (a, x) -> a + double(x) * double(x))"
-    width, radius2, top, n_queries = rows.agg(F.max(F.size("v")), F.max(F.expr(norm)), F.max(F.expr("array_max(transform(v, x -> abs(x)))")), F.count_if(F.col("vec_id") % every == 0)).first()
+    width, radius2, top, n_queries, total = rows.agg(F.max(F.size("v")), F.max(F.expr(norm)), F.max(F.expr("array_max(transform(v, x -> abs(x)))")), F.count_if(F.col("vec_id") % every == 0), F.count(F.lit(1))).first()
     empty = "query_id long, rank int, vec_id long, score long"
     if not n_queries:
         return spark.createDataFrame([], empty)
@@ -175,10 +183,10 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", eve
                 near = far.argmin(axis=1)
                 yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(near), pa.array(far[np.arange(len(near)), near])], ["vec_id", "v", "pivot", "dist"])
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) * width // PART_CELLS))
     index = rows.mapInArrow(key, "vec_id long, v array<bigint>, pivot long, dist double").repartitionByRange(n, "pivot", "dist", "vec_id")
     index = materialize(index.withColumn("part", F.spark_partition_id()).sortWithinPartitions("pivot", "dist"))
-    # One row a part, and one more wherever a pivot's rows begin inside a part: at most parts + PIVOTS rows.
+    # One row a part, and one more wherever a pivot's rows begin inside a part: at most parts + PIVOTS rows of 32 bytes, a part being 32 MB.
     cells = index.groupBy("part", "pivot").agg(F.min("dist").alias("lo"), F.max("dist").alias("hi")).toPandas().sort_values(["part", "pivot"])
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("qh"), "v").dropDuplicates(["query_id", "qh"])
     blocks = max(1, -(-int(n_queries) // QUERY_BLOCK))
