@@ -9,7 +9,11 @@ records with one record in memory, so a group of copies of any size costs at mos
 partition. Each level keeps the smallest and the largest identifier, the row count, and a verifier (an
 independent 64-bit hash over text and length); records merge only if digest and verifier both agree.
 
-Defined results: a null text counts as empty; of rows that repeat an identifier within a group just one
+Between rounds a partition's runs are sorted again by Spark's own sort, which finds the runs in order, rather than merged by
+a hand-written heap.
+
+Defined results: a very long text is hashed whole; ties cannot arise, since the largest identifier stays; extra columns may have
+any name; a null text counts as empty; of rows that repeat an identifier within a group just one
 is kept; null identifiers are kept only where a group has no other; an empty table gives no rows.
 """
 

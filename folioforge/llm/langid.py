@@ -7,9 +7,10 @@ that the profile lacks. The nearest profile names the language; score is one min
 share of the largest possible one.
 
 Profiles are learned from at most about TRAIN_DOCS documents a language, chosen by a seeded key of the
-identifier; this is the documented bound on the training sample, and everything else reads all rows.
+identifier, of the MOST_LANGS most frequent values of the language column; these are the documented bounds on the
+training sample, and everything else reads all rows. They also bound what is broadcast.
 
-Defined results: a null text, or one without a letter, is `und` with score 0, as is everything where
+Defined results: a very long text is profiled whole, in memory of a small multiple of its size; a null text, or one without a letter, is `und` with score 0, as is everything where
 nothing could be learned; ties go to the language that sorts first; null identifiers count as held out;
 rows that repeat are each predicted; extra columns do not matter.
 """
@@ -25,6 +26,7 @@ from .common import free_name, map_text, unit_hash, widened
 
 PROFILE = 300
 TRAIN_DOCS = 2000
+MOST_LANGS = 1000
 SEED = 7
 SALTS = 8
 UND = "und"
@@ -106,11 +108,11 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
           train_docs: int = TRAIN_DOCS, k: int = PROFILE) -> Profiles:
     """Profiles from documents that are not held out and name a language."""
     rows = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(~held_out("i") & F.col("l").isNotNull() & F.col("t").isNotNull())
-    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGS).collect()}
     if not sizes:
         return Profiles({}, k)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_docs / n))])
-    rows = rows.where(unit_hash(SEED, F.col("i")) < share[F.col("l")] * float(1 << 60)).select("l", "t")
+    rows = rows.where(unit_hash(SEED, F.col("i")) < F.coalesce(F.try_element_at(share, F.col("l")), F.lit(0.0)) * float(1 << 60)).select("l", "t")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         sums: dict[str, dict[int, int]] = {}

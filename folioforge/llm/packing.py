@@ -17,7 +17,9 @@ buckets of a key, so that a length of any share of the rows is never one task's)
 document by its length and rank in the sweep's runs. The run table, bounded by the sequence length alone, is
 all that the driver holds.
 
-Defined results: a null text is empty, so its only id is the end id; rows that repeat are each packed; an empty
+Defined results: a very long text is cut like any other that exceeds a sequence; ties between documents of one length go by a
+seeded hash of identifier, piece and ids; columns of the input other than the identifier and the text play no
+part and may have any name; a null text is empty, so its only id is the end id; rows that repeat are each packed; an empty
 table gives no rows.
 """
 
@@ -125,7 +127,7 @@ def best_fit_runs(counts: dict[int, int], length: int = LENGTH) -> np.ndarray:
 def _ranked(rows: DataFrame, total: int) -> DataFrame:
     """Adds rank, from 0 inside each length."""
     cells = max(1, min(CELLS, -(-total // ROWS_A_BUCKET)))
-    rows = rows.withColumn("_k", unit_hash(3, F.col("doc_id"), F.col("piece")))
+    rows = rows.withColumn("_k", unit_hash(3, F.col("doc_id"), F.col("piece"), F.col("ids_crc32")))
     rows = rows.withColumn("_b", F.expr(f"shiftright(_k, 44) * {cells}L div 65536L"))
     counts = rows.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n"))
     inside = Window.partitionBy("length", "_b").orderBy("_k", "doc_id", "piece", "ids_crc32")

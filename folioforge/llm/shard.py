@@ -3,13 +3,14 @@
 Rows are shuffled by a seeded key inside each source and ranked there. The rank divided by the
 source's size is a fractional rank; in the order of fractional ranks every stretch of rows holds the
 sources in the proportions of the whole. Cutting that order into equal stretches gives shards that
-match the mixture, with row counts at most one apart (law `rows`).
+match the mixture, with row counts at most one apart (law `rows`). The shuffle key is a hash of the identifier and
+the text, so rows without an identifier, or with one that repeats, spread like any others.
 
 No window ever spans a whole source or the whole table. A rank is a row number inside a small bucket
 of the ordering key plus the number of rows in earlier buckets; the counts of buckets are a table of
 at most CELLS rows a source, which is summed up bucket by bucket.
 
-Defined results: a null source is a source of its own; a null text has no bytes (size 8, CRC 0); rows
+Defined results: very long texts only pass through two hashes; a null source is a source of its own; a null text has no bytes (size 8, CRC 0); rows
 that repeat a doc_id are all kept and are ordered by their text's CRC and size; an empty table gives
 an empty result; columns of the input other than the four named are carried if asked for.
 """
@@ -51,7 +52,7 @@ def interleave(df: DataFrame, n_shards: int = SHARDS, seed: int = SEED, id_col:
         F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("_s"),
         *[F.col(c) for c in keep],
     )
-    rows = rows.withColumn("_k", unit_hash(seed, F.col("doc_id")))
+    rows = rows.withColumn("_k", unit_hash(seed, F.col("doc_id"), F.col("text_crc32")))
     total = df.count()
     cells = max(1, min(CELLS, -(-total // ROWS_A_BUCKET)))
     rows = rows.withColumn("_b", F.expr(f"shiftright(_k, 44) * {cells}L div 65536L"))

@@ -10,7 +10,7 @@ Documents are range-partitioned by doc_id; a partition is a file. A manifest (fi
 gives the start of each document in the whole. Files are written once, in the shared folder, and named by the
 rows that their tasks return; the manifest is a written table, so a lost executor repeats no tokenizing.
 
-Defined results: a null text is empty; null doc_ids come first; rows that repeat a doc_id follow each other in
+Defined results: a very long text is one long frame; extra columns may have any name and are not written; a null text is empty; null doc_ids come first; rows that repeat a doc_id follow each other in
 the order of their text's hash; an empty table gives no files and no rows.
 """
 

@@ -12,7 +12,7 @@ Equal payloads are found by SHA-1, length and a second 64-bit hash; the smallest
 aggregate with partial sums and pages meet it in a join that Spark may split, so a payload of any share of
 the rows is no single task's. Pages are dealt out by (page_id, digest) and move once.
 
-Defined results: a null html is empty; rows that repeat page_id and payload are one response and revisits to
+Defined results: a very long html is one record; extra columns may have any name and are not written; a null html is empty; rows that repeat page_id and payload are one response and revisits to
 it; null page_ids are responses unless a page with an identifier has the payload; an empty table gives no file.
 """
 
