@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions import folds
-from folioforge.sources.tables import DAMAGED, damaged, table
+from folioforge.sources.tables import DAMAGED, damaged, edits, table
 
 
 def first_match(rules: list[tuple[Column, object]], otherwise=None) -> Column:
@@ -308,7 +308,7 @@ ORACLE = {
  c AS (SELECT *, {_BARE.format("source")} AS a, {_BARE.format("output")} AS b FROM p),
  g AS (SELECT item_id, CASE WHEN item_id % 5 = 1 THEN 'label_not_adoptable' WHEN item_id % 9 = 0 THEN 'geometry_unscorable' WHEN trim(source, ' ') = '' OR b = '' THEN 'char_ratio_out_of_range'
    WHEN NOT CAST(length(regexp_replace(a, '\s', '', 'g')) AS DOUBLE) / length(regexp_replace(b, '\s', '', 'g')) BETWEEN 0.5 AND 2.0 THEN 'char_ratio_out_of_range' WHEN k = 3 THEN 'bad_source_chars' WHEN k IN (5, 9) OR contains(output, '$') THEN 'math_in_prose_block'
-   WHEN CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b), 1) > 0.2 THEN 'adoption_disagreement' END AS reason FROM c)
+   WHEN CAST({edits("a", "b")} AS DOUBLE) / greatest(length(a), length(b), 1) > 0.2 THEN 'adoption_disagreement' END AS reason FROM c)
  SELECT item_id, reason, CASE WHEN reason IS NULL THEN 'source_text' ELSE 'ocr' END AS content_source FROM g""",
     "status_rollup": """SELECT source, CASE WHEN max(toxic) = 1 THEN 'FAILED' WHEN min(quality) = 0 THEN 'SUSPECT' ELSE 'OK' END AS status, count(*) FILTER (quality = 0) AS changed, count(*) AS total,
  count(*) >= 5 AND CAST(count(*) FILTER (quality = 0) AS DOUBLE) / count(*) > 0.6 AS tripped FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""",

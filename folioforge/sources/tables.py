@@ -39,3 +39,13 @@ def words(docs: DataFrame) -> DataFrame:
 WORDS = r"""words AS (SELECT doc_id, ix, word, CAST(ix // 600 AS INTEGER) AS page, CAST((ix % 600) // 12 AS INTEGER) AS line_no,
   72.0 + (ix % 12) * 40 AS x0, 102.0 + (ix % 12) * 40 AS x1, 60.0 + ((ix % 600) // 12) * 14 AS y0, 68.0 + ((ix % 600) // 12) * 14 AS y1
  FROM (SELECT doc_id, unnest(range(len(ws))) AS ix, unnest(ws) AS word FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ') AS ws FROM documents)) WHERE word <> '')"""
+
+
+#: The other engine's edit distance counts bytes; the tables' letters outside ASCII become control characters, one for one.
+_WIDE = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü²∑§\ue000"
+_NARROW = "".join(map(chr, [*range(1, 9), *range(14, 32)]))[: len(_WIDE)]
+
+
+def edits(a: str, b: str) -> str:
+    """SQL of the edit distance by code point."""
+    return f"levenshtein(translate({a}, '{_WIDE}', '{_NARROW}'), translate({b}, '{_WIDE}', '{_NARROW}'))"
