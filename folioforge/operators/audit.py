@@ -25,6 +25,10 @@ def unscorable_reasons(rotation: Column, cropbox_ok: Column, ocr_width: Column,
     return F.concat_ws(",", F.when(rotation != 0, "rotation"), F.when(~F.coalesce(cropbox_ok, F.lit(False)), "cropbox"), F.when(bad(ocr_width) | bad(ocr_height), "ocr_dims"), F.when(bad(pdf_width) | bad(pdf_height), "pdf_dims"))
 
 
+def is_visual(label: Column) -> Column:
+    return F.coalesce(label.isin(*VISUAL), F.lit(False))
+
+
 def crop_name(label: Column, order: Column, page: Column, block: Column) -> Column:
     """File name of a visual block without reading order, else null."""
     return F.when(label.isin(*VISUAL) & order.isNull(), F.format_string("page_%04d_block_%s.png", page.cast("int"), block.cast("string")))

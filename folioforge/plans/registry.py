@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("coverage", "ordered", "classify", "geometry", "repair", "textual", "tables", "folding", "audit", "prose", "findings")
+MODULES = ("coverage", "ordered", "classify", "geometry", "repair", "textual", "tables", "folding", "audit", "prose", "findings", "compose")
 
 
 def queries() -> dict:
