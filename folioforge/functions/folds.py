@@ -388,6 +388,13 @@ def text_udf(f: Callable[[str], object], returns: str) -> Callable[[Column], Col
     return run
 
 
+def valid_rows(value: list | None, fields: dict[str, type | tuple]) -> list[dict] | None:
+    """The array if each of its values is an object with just these fields of these types (no boolean counts as a number), else null."""
+    if value is None or any(not isinstance(x, dict) or set(x) != set(fields) for x in value):
+        return None
+    return value if all(isinstance(x[k], kind) and not (isinstance(x[k], bool) and kind is not bool) for x in value for k, kind in fields.items()) else None
+
+
 def map_changes(pages: list[str], current: str) -> dict[int, str] | None:
     """Which pages an edited document changed, and their new text: page number -> text. Pages are joined by blank lines. Null if a
     change crosses pages, touches a boundary, or cannot be placed."""

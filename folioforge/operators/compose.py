@@ -11,6 +11,7 @@ from folioforge.operators import geometry as G
 from folioforge.operators import tables
 from folioforge.operators.audit import crop_name, is_visual
 from folioforge.operators.classify import garble, token_core
+from folioforge.plans.session import reuse
 from folioforge.sources.tables import WORDS, table, words
 
 
@@ -19,7 +20,7 @@ def noise(rows: DataFrame, kinds: DataFrame, page: list[str], height: float) ->
     at the gutter of body pages, else null. Judged on the words' own places, so a second reading of a page can be checked alone."""
     marked = G.strip_bands(rows, page, height).join(kinds.select(*page, "kind", "gutter"), page)
     number = (F.col("kind") == "SPEC_BODY") & G.is_line_number(F.col("word"), (F.col("x0") + F.col("x1")) / 2, F.col("gutter"))
-    return marked.withColumn("noise", F.when(F.col("removed"), "header_footer").when(number, "line_number")).drop("removed")
+    return reuse(marked.withColumn("noise", F.when(F.col("removed"), "header_footer").when(number, "line_number")).drop("removed"))
 
 
 def column_lines(body: DataFrame, page: list[str], by_column: bool = True) -> DataFrame:
@@ -28,7 +29,7 @@ def column_lines(body: DataFrame, page: list[str], by_column: bool = True) -> Da
     xc = (F.col("x0") + F.col("x1")) / 2
     rows = body.join(per, page).withColumn("col", G.column_of(xc, F.col("gutter")) if by_column else F.lit("L"))
     key = [*page, "col"]
-    rows = rows.join(G.group_lines(rows, key, F.col("_h") * G.LINE_SHARE), [*key, "ix"])
+    rows = reuse(rows.join(G.group_lines(rows, key, F.col("_h") * G.LINE_SHARE), [*key, "ix"]))
     place = rows.groupBy(*key, "line").agg(F.median((F.col("y0") + F.col("y1")) / 2).alias("y"), F.first("_h").alias("line_height"))
     text = G.join_lines(rows, [*key, "line"], F.greatest(F.lit(G.SPACE), F.col("_cw") * G.SPACE_SHARE))
     wide = G.medians(rows, key).select(*key, "char_width")
@@ -88,7 +89,7 @@ def compose_documents(rows: DataFrame, metas: DataFrame, doc: str, page: str, he
     """Words (doc, page, ix, word, box) and metas (doc, number, title, inventors, assignee, date, classes, topic, source, abstract) to
     Markdown, one row a document. known is the dictionary for words broken at line ends."""
     key = [doc, page]
-    kinds = G.page_kinds(rows, [doc], page, width)
+    kinds = reuse(G.page_kinds(rows, [doc], page, width))
     marked = noise(rows, kinds, key, height)
     sheets = kinds.where("kind = 'FIGURE'").groupBy(doc).agg(F.array_sort(F.collect_list(page)).alias("_s"))
     out = metas.join(body_texts(body_paragraphs(marked, key), doc, page), doc, "left").join(front_texts(marked, doc, page), doc, "left").join(sheets, doc, "left")
@@ -212,8 +213,7 @@ def _typeset(spark, sf_dir) -> DataFrame:
 
 def _marked(spark, sf_dir):
     rows = _typeset(spark, sf_dir)
-    kinds = G.page_kinds(rows, ["doc_id"], "page", 612.0)
-    return noise(rows, kinds, PAGE, 792.0)
+    return noise(rows, reuse(G.page_kinds(rows, ["doc_id"], "page", 612.0)), PAGE, 792.0)
 
 
 def noise_words(spark, sf_dir):

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.operators.repair import fingerprint
+from folioforge.functions import folds
+from folioforge.operators.ordered import interval_conflicts
+from folioforge.operators.repair import apply_patches, fingerprint
+from folioforge.plans.session import reuse
 from folioforge.sources.tables import WORDS, table, words
 
 #: Fixed value: states of an event that are final.
@@ -38,6 +43,16 @@ def formula_events(candidates: DataFrame, renders: DataFrame, blocks: DataFrame,
     return rows.select(*page, "block_id", F.when(F.col("errors") > 0, "P1").otherwise("P2").alias("severity"), F.lit(ROUTES["formulas"]).alias("route"), own.alias("input_fingerprint"), "reasons", "crops", "candidates", "errors", "warnings")
 
 
+def collect(detectors: dict[str, DataFrame], identity: list[str]) -> DataFrame:
+    """Findings of all detectors, each with its capability and an id over capability and identity; two with one id are an error."""
+    out = None
+    for name, rows in sorted(detectors.items()):
+        tagged = rows.withColumn("capability", F.lit(name)).withColumn("finding_id", F.substring(canonical(F.col("capability"), *map(F.col, sorted(identity))), 1, 20))
+        out = tagged if out is None else out.unionByName(tagged)
+    n = F.count(F.lit(1)).over(Window.partitionBy("finding_id"))
+    return out.withColumn("finding_id", F.when(n > 1, F.raise_error(F.concat(F.lit("duplicate finding "), "finding_id"))).otherwise(F.col("finding_id")))
+
+
 def route_of(capability: Column) -> Column:
     """Where an event of a capability goes; a blocker where no rule says."""
     routes = F.create_map(*[F.lit(x) for pair in ROUTES.items() for x in pair])
@@ -158,6 +173,33 @@ def view_rows(blocks: DataFrame, audits: DataFrame, corrections: DataFrame, cand
                        cut(F.col("added")).alias("added"), more(F.col("added")).alias("added_truncated"), F.when(fresh, F.col("_c")).alias("correction"), "candidate_id")
 
 
+def repair_loop(docs: DataFrame, detect, propose, rounds: int = 2) -> DataFrame:
+    """Audit, propose, apply and audit again, document by document (doc, text): doc, text, applied, rounds, stop.
+
+    detect(docs) gives (doc, severity); propose(docs) gives (doc, id, lo, hi, before, replacement). A round applies a
+    document's surviving proposals at once, unless one conflicts or it has a P0 finding, and only if every gate passes.
+    A document stops where nothing is found any more (resolved), a gate failed (rolled_back), a round changed nothing
+    (no_progress), or after the last round (max_rounds). Only the number of open documents reaches the driver.
+    """
+    state = docs.select("doc", "text", F.lit(0).cast("long").alias("applied"), F.lit(0).alias("rounds"), F.lit(None).cast("string").alias("stop"))
+    for _ in range(rounds):
+        open_ = state.where("stop IS NULL")
+        plan = propose(open_.select("doc", "text"))
+        verdicts = interval_conflicts(plan, open_.select("doc", "text"))
+        blocked = verdicts.where("verdict NOT IN ('kept', 'duplicate')").select("doc").union(detect(open_.select("doc", "text")).where("severity = 'P0'").select("doc")).distinct()
+        kept = plan.join(verdicts.where("verdict = 'kept'").select("doc", "id"), ["doc", "id"]).join(blocked, "doc", "left_anti")
+        patches = kept.join(open_.select("doc", F.sha2("text", 256).alias("baseline_hash")), "doc")
+        changed = apply_patches(open_.select("doc", "text"), patches, "doc").withColumnRenamed("text", "_new")
+        after = open_.join(changed, "doc").join(patches.groupBy("doc").agg(F.count(F.lit(1)).alias("_k")), "doc", "left")
+        after = reuse(after.select("doc", F.col("text").alias("_old"), F.col("_new").alias("text"), (F.col("applied") + F.when(F.col("committed"), F.coalesce("_k", F.lit(0))).otherwise(0)).alias("applied"), (F.col("rounds") + 1).alias("rounds"), "committed", "reason"))
+        left = detect(after.select("doc", "text")).select("doc").distinct().withColumn("_left", F.lit(True))
+        stop = F.when(F.col("_left").isNull(), "resolved").when(~F.col("committed") & ~F.col("reason").isin("no_patch", "stale_baseline"), "rolled_back").when(~F.col("committed") | (F.col("_old") == F.col("text")), "no_progress")
+        state = reuse(after.join(left, "doc", "left").select("doc", "text", "applied", "rounds", stop.alias("stop")).unionByName(state.where("stop IS NOT NULL")))
+        if state.where("stop IS NULL").isEmpty():
+            break
+    return state.withColumn("stop", F.coalesce("stop", F.lit("max_rounds")))
+
+
 def first_jobs(jobs: DataFrame, order: list[str], limit: int | None = None) -> DataFrame:
     """The first jobs in order, all without a limit; Spark takes them partition by partition."""
     rows = jobs.dropDuplicates(["path"]).orderBy(*order)
@@ -283,7 +325,18 @@ def candidate_sums(spark, sf_dir):
     return candidate_summary(li)
 
 
-QUERIES = {f.__name__: f for f in (formula_event_rows, answer_corrections, decision_proposals, decision_states, worklist_blocks, note_checks, removal_checks, model_reviews, viewer_blocks, limited_jobs, candidate_sums)}
+def repaired_documents(spark, sf_dir):
+    """Whole texts with padded math, without math, and with a lone dollar at the end, repaired until nothing changes."""
+    text = F.translate("text", "$\\", "§/")
+    marked = F.when(F.col("doc_id") % 3 == 0, F.replace(text, F.lit("e "), F.lit("e $ q$ "))).when(F.col("doc_id") % 3 == 1, text).otherwise(F.concat(F.replace(text, F.lit("s "), F.lit("s $x $ ")), F.lit(" $a")))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), marked.alias("text"))
+    severity = folds.text_udf(lambda t: [x[1] for x in folds.delimiter_events(t)], "array<string>")
+    spans = folds.text_udf(lambda t: [{"id": i, "lo": a, "hi": b, "before": hashlib.sha256(t[a:b].encode()).hexdigest(), "replacement": c} for i, (a, b, c) in enumerate(folds.whitespace_proposals(t))], "array<struct<id: long, lo: long, hi: long, before: string, replacement: string>>")
+    out = repair_loop(docs, lambda d: d.select("doc", F.explode(severity(F.col("text"))).alias("severity")), lambda d: d.select("doc", F.inline(spans(F.col("text")))), 3)
+    return out.select("doc", "applied", "rounds", "stop", F.sha2("text", 256).alias("digest"))
+
+
+QUERIES = {f.__name__: f for f in (formula_event_rows, answer_corrections, decision_proposals, decision_states, worklist_blocks, note_checks, removal_checks, model_reviews, viewer_blocks, limited_jobs, candidate_sums, repaired_documents)}
 
 ORACLE = {
     "formula_event_rows": """WITH t AS (SELECT *, length(text) AS k FROM conversations),
@@ -316,6 +369,9 @@ ORACLE = {
     "viewer_blocks": """WITH t AS (SELECT *, length(text) AS k FROM conversations)
  SELECT conv_id, turn AS block_id, k % 5 <> 0 AS boxed, CASE WHEN k % 3 <> 0 THEN turn END AS "order", sha256(substr(text, 1, 120)) AS head, CASE WHEN k % 7 <> 0 THEN 'ocr' END AS content_source, CASE WHEN k % 7 <> 0 THEN array_to_string(list_slice(string_split(text, ' '), 1, least(k % 6, 3)), ' ') ELSE '' END AS missing,
   k % 7 <> 0 AND least(k % 6, len(string_split(text, ' '))) > 3 AS missing_truncated, false AS added_truncated, CASE WHEN turn % 2 = 0 AND k % 4 <> 0 THEN 'pending' END AS correction, CASE WHEN turn % 3 = 0 THEN 'c' || turn END AS candidate_id FROM t""",
+    "repaired_documents": r"""WITH d AS (SELECT doc_id, translate(text, '$\', '§/') AS t FROM documents), c AS (SELECT doc_id, t, (length(t) - length(replace(t, CASE WHEN doc_id % 3 = 0 THEN 'e ' ELSE 's ' END, ''))) // 2 AS n FROM d)
+ SELECT doc_id AS doc, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE n END AS applied, CASE WHEN doc_id % 3 = 2 AND n > 0 THEN 2 ELSE 1 END AS rounds, CASE WHEN doc_id % 3 = 2 THEN 'no_progress' ELSE 'resolved' END AS stop,
+  sha256(CASE doc_id % 3 WHEN 0 THEN replace(t, 'e ', 'e $q$ ') WHEN 1 THEN t ELSE replace(t, 's ', 's $x$ ') || ' $a' END) AS digest FROM c""",
     "limited_jobs": "SELECT DISTINCT '/in/' || o_orderkey % 400 || '.pdf' AS path FROM orders ORDER BY path LIMIT 25",
     "candidate_sums": """WITH l AS (SELECT row_number() OVER () AS i, l_returnflag, l_linenumber, lower(l_linestatus) AS s, CASE WHEN l_partkey % 5 <> 0 THEN CAST(l_quantity * 10 AS BIGINT) END * (l_suppkey % 90 + 10) AS px FROM lineitem),
  r AS (SELECT i, px, 'bare_op' AS reason FROM l UNION SELECT i, px, CASE WHEN l_linenumber % 2 = 0 THEN 'bare_op' ELSE 'render' END FROM l UNION SELECT i, px, s FROM l)

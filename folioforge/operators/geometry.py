@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.plans.session import reuse
 from folioforge.sources.tables import WORDS, table, words
 
 #: Fixed values of the layout: bands of the page height, ladder of line numbers, columns.
@@ -32,7 +33,7 @@ def strip_bands(df: DataFrame, page: list[str], height: float, header: str = RUN
     rows = df.withColumn("zone", F.when(yc < HEADER * height, "head").when(yc > FOOTER * height, "foot"))
     edge = rows.where("zone IS NOT NULL").join(medians(df, page).select(*page, (F.col("height") * LINE_SHARE).alias("_tol")), page)
     zone = [*page, "zone"]
-    edge = edge.join(group_lines(edge, zone, F.col("_tol")), [*zone, "ix"])
+    edge = reuse(edge.join(group_lines(edge, zone, F.col("_tol")), [*zone, "ix"]))
     text = join_lines(edge, [*zone, "line"], F.lit(BAND_SPACE)).withColumn("_t", F.trim("text"))
     bad = text.where(F.col("_t").rlike(header) | F.col("_t").rlike(NUMBER_ROW)).select(*zone, "line", F.lit(True).alias("removed"))
     marked = edge.join(bad, [*zone, "line"], "left").select(*df.columns, F.coalesce("removed", F.lit(False)).alias("removed"))
@@ -94,17 +95,17 @@ def line_numbers(centres: list[float], tolerance: float) -> list[int]:
 def group_lines(df: DataFrame, page: list[str], tolerance: Column) -> DataFrame:
     """Line number of each word of a page, ties in height by ix.
 
-    The fold depends on order, so a page is one group; a page's words are bounded.
+    The fold depends on order, so a page's words, which are bounded, are one row while it runs; many pages share an Arrow batch.
     """
 
-    def fold(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("yc", "ascending"), ("ix", "ascending")])
-        lines = line_numbers(part.column("yc").to_pylist(), part.column("tol")[0].as_py())
-        return part.select([*page, "ix"]).append_column("line", pa.array(lines, pa.int32()))
+    @F.arrow_udf("array<int>")
+    def numbered(centres: pa.Array, tolerances: pa.Array) -> pa.Array:
+        return pa.array([line_numbers(ys, t) for ys, t in zip(centres.to_pylist(), tolerances.to_pylist(), strict=True)], pa.list_(pa.int32()))
 
-    rows = df.select(*page, "ix", ((F.col("y0") + F.col("y1")) / 2).alias("yc"), tolerance.cast("double").alias("tol"))
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*page, "ix"])
-    return rows.groupBy(*page).applyInArrow(fold, schema + ", line int")
+    word = F.struct(((F.col("y0") + F.col("y1")) / 2).alias("yc"), "ix")
+    pages = df.groupBy(*page).agg(F.array_sort(F.collect_list(word)).alias("_w"), F.first(tolerance.cast("double")).alias("_tol"))
+    lined = pages.select(*page, F.arrays_zip(F.col("_w.ix").alias("ix"), numbered(F.col("_w.yc"), F.col("_tol")).alias("line")).alias("_l"))
+    return lined.select(*page, F.inline("_l"))
 
 
 def space_between(word: Column, before: Column, gap: Column, threshold: Column) -> Column:

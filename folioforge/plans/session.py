@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -16,3 +17,11 @@ def reach(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         env["PYTHONPATH"] = ":".join([ROOT, *paths])
     return spark
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """A frame that several branches of a plan read, computed once: a checkpoint where the session has a folder for them, which lost
+    executors do not touch; else kept by the session."""
+    if df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir"):
+        return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+from fnmatch import fnmatch
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAGE_RESULT = (
@@ -12,13 +15,20 @@ PAGE_RESULT = (
 
 
 def documents(spark: SparkSession, paths: list[str], glob: str = "*.pdf", unique_stems: bool = False) -> DataFrame:
-    """path, stem, length of matching files, once each; two paths with one case-folded stem are an error if asked for."""
+    """path, stem, length of matching files, once each and in order of path; arguments that are files of another sort are skipped with a
+    warning; two paths with one case-folded stem are an error if asked for."""
+    other = [p for p in paths if "." in p.rsplit("/", 1)[-1] and not fnmatch(p.rsplit("/", 1)[-1].lower(), glob)]
+    for p in other:
+        logging.getLogger(__name__).warning("skipped, does not match %s: %s", glob, p)
+    paths = [p for p in paths if p not in other]
+    if not paths:
+        return spark.createDataFrame([], "path string, length long, stem string").select("path", "length", "stem")
     rows = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(paths).select("path", "length").dropDuplicates(["path"])
     rows = rows.withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
     if unique_stems:
         n = rows.groupBy(F.lower("stem").alias("low")).agg(F.count_distinct("path").alias("n"))
         rows = rows.join(n, F.lower("stem") == F.col("low")).withColumn("stem", F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("two documents share the stem "), "stem"))).otherwise(F.col("stem"))).drop("low", "n")
-    return rows
+    return rows.orderBy("path")
 
 
 def page_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -56,6 +66,17 @@ def packages(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
     return rows.withColumn("files", F.when(F.size(gone) > 0, F.raise_error(F.concat(F.lit("incomplete package "), "package"))).otherwise(F.col("files")))
 
 
+def checked_packages(spark: SparkSession, path: str, required: list[str], id_file: str = "package.json") -> DataFrame:
+    """packages() whose id, as id_file names it, is their folder's name and no other's; anything else is an error."""
+    rows = packages(spark, path, required)
+    ids = spark.read.schema("package_id STRING").option("multiLine", True).option("recursiveFileLookup", "true").option("pathGlobFilter", id_file).json(path)
+    ids = ids.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("_folder"), "package_id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("package_id"))
+    rows = rows.withColumn("_folder", F.regexp_extract("package", "([^/]+)$", 1)).join(ids, "_folder", "left").withColumn("_n", n)
+    bad = F.coalesce(F.col("package_id") != F.col("_folder"), F.lit(True)) | (F.col("_n") > 1)
+    return rows.select("package", "files", F.when(bad, F.raise_error(F.concat(F.lit("package id does not fit "), "package"))).otherwise(F.col("package_id")).alias("package_id"))
+
+
 def dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Lower-cased words of letters, one a line."""
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).where(F.col("word").rlike(r"^\p{L}+$")).distinct()
