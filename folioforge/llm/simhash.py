@@ -458,8 +458,9 @@ def similar_edges(df: DataFrame, groups: DataFrame, text_col: str, shingle: int,
     A root with more than `most` shingles is dealt in slices, and every two slices meet in a unit of their own.
     """
     texts = groups.select("text_hash", "root").distinct()
-    many = texts.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
-    open_ = texts.join(many, "root").select(F.col("text_hash").alias("h"), "root")
+    side = F.col("root").bitwiseXOR(F.lit(_SIDE))
+    many = texts.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(side.alias("r"))
+    open_ = texts.withColumn("r", side).join(many, "r").select(F.col("text_hash").alias("h"), "root")
     rows = df.select(F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).join(open_, F.col("text_hash") == F.col("h"))
     rows = rows.withColumn("again", F.row_number().over(Window.partitionBy("text_hash").orderBy(F.lit(0)))).where("again = 1").select("text_hash", "root", "text")
 
