@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
+from folioforge.functions.latex import brace_end
+from folioforge.functions.latex import sanitize as sanitize_latex
+
 #: Ligatures, hyphen-like characters, hyphens that end a line, superscripts and marks of math.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 HYPHENS = "‐‑‒–−"
@@ -88,16 +91,6 @@ def _claim(n: int, body: str) -> str:
     return "\n".join(lines)
 
 
-def brace_end(text: str, at: int) -> int:
-    """Index past the brace that closes the one at `at`, or -1."""
-    depth = 0
-    for i in range(at, len(text)):
-        depth += {"{": 1, "}": -1}.get(text[i], 0)
-        if not depth:
-            return i + 1
-    return -1
-
-
 def strip_math(text: str) -> str:
     """Without $...$, \\(...\\) and \\[...\\] (to the end where one is not closed), then without commands and their nested arguments."""
     text = re.sub(r"\$[^$]*(?:\$|\Z)|\\\(.*?(?:\\\)|\Z)|\\\[.*?(?:\\\]|\Z)", "", text, flags=re.S)
@@ -154,35 +147,6 @@ def numeric_values(text: str, title: bool = False) -> list[str]:
     return numeric_tokens(_ALONE.sub(lambda m: m[1].translate(_FOLD), marked) if title else marked, units=False)
 
 
-#: Entities, renamed commands, spacing that formulas keep.
-ENTITIES = {"&#x27;": "'", "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
-COMMANDS = {"upmu": "mu", "pit": "pi t"}
-
-
-def sanitize_latex(text: str) -> str:
-    """Ordered repairs: entities, renamed commands, ensuremath, stray dollars, doubled scripts, surplus braces, empty delimiters, CJK."""
-    for a, b in ENTITIES.items():
-        text = text.replace(a, b)
-    for a, b in COMMANDS.items():
-        text = re.sub(rf"\\{a}(?![a-zA-Z])", lambda _, b=b: "\\" + b, text)
-    while (hit := re.search(r"\\ensuremath\s*\{", text)) and (end := brace_end(text, hit.end() - 1)) > 0:
-        text = text[: hit.start()] + text[hit.end() : end - 1] + text[end:]
-    text = re.sub(r"(?<!\\)\$", "", text)
-    text = re.sub(r"([_^])\{\{([^{}]*)\}\}", r"\1{\2}", text)
-    for mark in "_^":
-        text = re.sub(rf"\{mark}\{{([^{{}}]*)\}}\s*\{mark}\{{([^{{}}]*)\}}", rf"{mark}{{\1 \2}}", text)
-    depth, kept = 0, []
-    for i, c in enumerate(text):
-        escaped = i > 0 and text[i - 1] == "\\"
-        if c == "}" and not escaped and not depth:
-            continue
-        depth += 0 if escaped else {"{": 1, "}": -1}.get(c, 0)
-        kept.append(c)
-    text = re.sub(r"\\left\s*\.\s*\\right\s*\.", "", "".join(kept))
-    text = re.sub(r"(?<!\\text\{)([\u3400-\u9fff]+)", r"\\text{\1}", text)
-    return text.strip()
-
-
 #: Rewrites that bring numbers of both sides to one form, in order.
 SYMBOLS = {"times": "×", "pm": "±", "leq": "≤", "le": "≤", "geq": "≥", "ge": "≥", "mu": "μ", "sigma": "σ", "lambda": "λ", "pi": "π"}
 REWRITES = (

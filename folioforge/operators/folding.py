@@ -61,7 +61,7 @@ def math_stripped(spark, sf_dir):
 
 def latex_sanitized(spark, sf_dir):
     f = folds.text_udf(folds.sanitize_latex, "string")
-    return _docs(spark, sf_dir).select("doc_id", F.sha2(f(F.concat(F.lit("\\upmu x_{{1}} \\displaylimits &lt;y}"), F.replace("text", F.lit("e "), F.lit("e \\pit ")))), 256).alias("digest"))
+    return _plain(spark, sf_dir).select("doc_id", F.sha2(f(F.concat(F.lit("\\upmu x_{{1}} \\displaylimits &lt;y}"), F.replace("text", F.lit("e "), F.lit("e \\pit ")))), 256).alias("digest"))
 
 
 def token_consumption(spark, sf_dir):
@@ -127,6 +127,7 @@ ORACLE = {
  s AS (SELECT *, coalesce(length(b) > 1 AND regexp_matches(b, '[-‐]$'), false) AS tied, length(word) > 1 AND regexp_matches(word, '[a-z][-‐]$') AND coalesce(regexp_matches(a, '^[a-z]'), false) AS soft FROM n)
  SELECT doc_id, page, sha256(nfc_normalize(string_agg(CASE WHEN b IS NULL OR tied THEN '' ELSE ' ' END || CASE WHEN soft THEN word[:-2] ELSE word END, '' ORDER BY ix))) AS digest FROM s GROUP BY ALL""",
     "math_stripped": r"""SELECT doc_id, sha256('   z ' || replace(translate(text, '$\', '§/'), 'e ', 'e  ') || ' ') AS digest FROM documents""",
+    "latex_sanitized": r"""SELECT doc_id, sha256('\mu x_{1}  <y' || replace(translate(text, '$\', '§/'), 'e ', 'e \pi t ')) AS digest FROM documents""",
     "math_span_proposals": "WITH " + _DOLLARS + r""", p AS (SELECT doc_id, unnest(range(len(ps))) AS k, unnest(ps) AS part FROM (SELECT doc_id, string_split(text, '$') AS ps FROM t)),
  c AS (SELECT *, sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY k) AS e, count(*) OVER (PARTITION BY doc_id) AS n FROM p)
  SELECT doc_id, CAST(e - length(part) - 2 AS INTEGER) AS lo, CAST(e AS INTEGER) AS hi, md5('$' || regexp_replace(regexp_replace(part, '^\s+', ''), '\s+$', '') || '$') AS replacement FROM c WHERE k % 2 = 1 AND k < n - 1 AND (regexp_matches(part, '^\s') OR regexp_matches(part, '\s$'))""",

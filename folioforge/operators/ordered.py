@@ -162,6 +162,21 @@ def budget(df: DataFrame, key: str, order: list[Column], limit: int) -> DataFram
     return df.withColumn("routed", rank <= limit)
 
 
+#: States of an event that are final, and those of one that goes to no agent.
+TERMINAL = ("resolved", "ignored", "accepted", "rejected")
+NO_AGENT, OVER_BUDGET, ROUTED = "unresolved_no_agent", "not_routed_due_budget", "routed"
+
+
+def route_events(events: DataFrame, prior: DataFrame, batch: str, order: list[str], limit: int, agents: bool = True) -> DataFrame:
+    """State of each event (event_id, input_fingerprint) of a batch: that of its prior run where it was final and its input is the same;
+    else routed, in order of priority, up to the limit; the rest are over the budget, and without agents none is routed."""
+    old = prior.where(F.col("status").isin(*TERMINAL)).select("event_id", F.col("input_fingerprint").alias("_f"), F.col("status").alias("_s"))
+    rows = events.join(old, "event_id", "left").withColumn("_s", F.when(F.col("_f") == F.col("input_fingerprint"), F.col("_s")))
+    open_ = F.sum(F.when(F.col("_s").isNull(), 1).otherwise(0)).over(Window.partitionBy(batch).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    fresh = F.when(F.lit(not agents), NO_AGENT).when(open_ <= limit, ROUTED).otherwise(OVER_BUDGET)
+    return rows.select(*events.columns, F.coalesce("_s", fresh).alias("state"), F.col("_s").isNotNull().alias("reused"))
+
+
 def sequence_ratio(df: DataFrame, key: str, block: str, rank: Column) -> DataFrame:
     """Share of adjacent blocks whose median rank does not fall; null below two blocks."""
     medians = df.groupBy(key, block).agg(F.median(rank).alias("m"))
@@ -245,11 +260,18 @@ def routing_budget(spark, sf_dir):
     return budget(rows, "o_custkey", [F.asc("o_orderpriority"), F.asc("o_orderkey")], 5)
 
 
+def routed_events(spark, sf_dir):
+    k = F.col("o_orderkey")
+    events = table(spark, sf_dir, "orders").select("o_custkey", k.alias("event_id"), "o_orderpriority", (k % 5).alias("input_fingerprint"))
+    prior = events.where("event_id % 3 = 0").select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("input_fingerprint")).otherwise(F.lit(-1)).alias("input_fingerprint"), F.when(F.col("event_id") % 4 == 0, "accepted").otherwise("routed").alias("status"))
+    return route_events(events, prior, "o_custkey", ["o_orderpriority", "event_id"], 4).select("o_custkey", "event_id", "state", "reused")
+
+
 def sequence_ratio_orders(spark, sf_dir):
     return sequence_ratio(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("double"))
 
 
-QUERIES = {f.__name__: f for f in (page_ranges, missing_turns, novel_page_signals, repeat_loop_events, page_offsets, interval_conflict_events, pending_batches, last_write_state, batch_chunks, bounded_count_events, bounded_count_sources, uniform_page_sample, routing_budget, sequence_ratio_orders)}
+QUERIES = {f.__name__: f for f in (page_ranges, missing_turns, novel_page_signals, repeat_loop_events, page_offsets, interval_conflict_events, pending_batches, last_write_state, batch_chunks, bounded_count_events, bounded_count_sources, uniform_page_sample, routing_budget, routed_events, sequence_ratio_orders)}
 
 ORACLE = {
     "page_ranges": """WITH d AS (SELECT DISTINCT l_suppkey, l_partkey % 53 AS page FROM lineitem), i AS (SELECT *, page - row_number() OVER (PARTITION BY l_suppkey ORDER BY page) AS g FROM d)
@@ -293,6 +315,8 @@ ORACLE = {
     "uniform_page_sample": """WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
  SELECT o_custkey, o_orderkey FROM r WHERE n <= 3 OR r IN (0, n // 3, 2 * n // 3)""",
     "routing_budget": "SELECT o_custkey, o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) <= 5 AS routed FROM orders",
+    "routed_events": """WITH e AS (SELECT o_custkey, o_orderkey AS k, o_orderpriority, o_orderkey % 12 = 0 AS reused FROM orders), r AS (SELECT *, sum(CASE WHEN reused THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, k) AS n FROM e)
+ SELECT o_custkey, k AS event_id, CASE WHEN reused THEN 'accepted' WHEN n <= 4 THEN 'routed' ELSE 'not_routed_due_budget' END AS state, reused FROM r""",
     "sequence_ratio_orders": """WITH m AS (SELECT l_orderkey, l_linenumber, median(CAST(l_suppkey AS DOUBLE)) AS m FROM lineitem GROUP BY ALL),
  u AS (SELECT l_orderkey, CASE WHEN lag(m) OVER w IS NOT NULL THEN CAST(m >= lag(m) OVER w AS DOUBLE) END AS up FROM m WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber))
  SELECT l_orderkey, avg(up) AS ratio FROM u GROUP BY l_orderkey""",

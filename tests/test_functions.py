@@ -76,7 +76,16 @@ def test_folds():
     assert folds.structure_claims("none") == [] and folds.structure_claims("1. A. 2.5 mm 2. b 2. C")[1][1] == "2. C"
     assert folds.strip_math("a $x$ \\frac{a}{b{c}}d \\(y\\)e\\[z\\]f \\b{open") == "a  d ef "
     assert folds.strip_math_tokens("a 10² b×c d") == "a d"
-    assert folds.sanitize_latex("\\upmu x_{{1}} \\ensuremath{y}}") == "\\mu x_{1} y"
+    for bad, good in (
+        ("\\upmu x_{{1}} \\ensuremath{y}}", "\\mu x_{1} y"), ("a&lt;b $c\\$", "a<b c\\$"), ("x\\displaylimits \\displaystyle", "x \\displaystyle"), ("1/\\pit_r \\pitchfork", "1/\\pi t_r \\pitchfork"), ("\\cdotd x \\cdot y", "\\cdot d x \\cdot y"),
+        ("{a\\atop b\\atop c}", "{\\substack{a\\\\b\\\\c}}"), ("{a\\atop b}", "{a\\atop b}"), ("{a\\atopwithdelims b\\atop c}", "{a\\atopwithdelims b\\atop c}"), ("V_g_{\\max} x_1", "V_{g\\ \\max} x_1"), ("x^\\prime^2 y^{a}^{b}", "x^{\\prime 2} y^{a\\ b}"), ("x_a^b", "x_a^b"),
+        ("\\quad_{x}", "\\quad{}_{x}"), ("\\frac{\\displaystyle\\int}\\alpha", "{\\displaystyle\\int}\\alpha"), ("\\begin{array}{c}a&b\\\\c\\end{array}", "\\begin{array}{cc}a&b\\\\c\\end{array}"), ("\\left[\\begin{array}{c}a\\right]_{n}", "\\left[\\begin{array}{c}a\\end{array}\\right]_{n}"),
+        ("\\left.x\\right.", "x"), ("\\left(x", "(x"), ("x\\right)", "x)"), ("\\quad\\left.k", "\\quad k"), ("\\omega\\leftarrow\\sigma", "\\omega\\leftarrow\\sigma"), ("\\left(x\\right)", "\\left(x\\right)"), ("a}b\\}", "ab\\}"), ("{a}}", "{a}"),
+        ("5 dBி", "5 dBi"), ("①®", "\\text{\\textcircled{1}}\\text{\\textregistered}"), ("\\text{\\textregistered}", "\\text{\\textregistered}"), ("\\text{172^{\\circ}C}", "172^{\\circ}\\text{C}"), ("\\text{a \\ln Z}", "\\text{a }\\ln \\text{ Z}"), ("\\text{max}", "\\text{max}"),
+        ("x电压y\\text{电}", "x\\text{电压}y\\text{电}"), ("\\mathrm{电}", "\\mathrm{\\text{电}}"),
+        ("\\left|\\begin{matrix}b\\\\\\displaystyle\\int f d x\\\\a\\end{matrix}\\right|", "\\left|\\int_{a}^{b} f d x\\right|"),
+    ):
+        assert folds.sanitize_latex(bad) == good, bad
     assert folds.last_json_array('noise [1] then [{"a": 1}] end') == [{"a": 1}]
     assert folds.whitespace_proposals("$ x $ \\$5 $y$ $$ z $$") == [(0, 5, "$x$")] and folds.tighten("a $ x $ $  $ $$ y $$") == "a $x$ $  $ $$ y $$"
     assert folds.delimiter_events("a $ x$\nb $5 c\n$$d$$ \\$ $e") == [("inline_math_delimiter_whitespace", "P1", 2, 6, 1, 3), ("ambiguous_currency_delimiter", "P2", 9, 10, 2, 3), ("unpaired_math_delimiter", "P1", 23, 24, 3, 10)]
