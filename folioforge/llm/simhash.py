@@ -225,7 +225,8 @@ def join_trees(trees: GrayTrees, a: np.ndarray, b: np.ndarray, radius: int = RAD
 
 def block_keys(radius: int = RADIUS, blocks: int = BLOCKS) -> list[Column]:
     """Unit keys of one-word fingerprints: the bits of each choice of blocks - radius blocks, one of which two linked fingerprints
-    share."""
+    share; one more than radius at least."""
+    blocks = max(blocks, radius + 1)
     ends = [64 * i // blocks for i in range(blocks + 1)]
     bits = [(F.shiftrightunsigned("w0", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1)), hi - lo) for lo, hi in zip(ends, ends[1:], strict=False)]
     out = []

@@ -256,7 +256,7 @@ def _removed(batch: pa.RecordBatch, window: int, seed: int) -> tuple[list[list[b
 
 def with_removed(docs: DataFrame, finish, schema, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """finish(batch, words, ends, gone) over all rows; docs has the columns doc_id (long) and text, and any others."""
-    blocks = block_index(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), window, seed)
+    blocks = materialize(block_index(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), window, seed))  # read twice, parsed once
     # Anchors of more than one document; partial sums come first, so a common one is a row a task.
     grams = blocks.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("hi > lo")
     # Joined by another expression than it was summed by, each side gets an exchange of its own, which Spark may split where hot.

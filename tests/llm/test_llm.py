@@ -387,18 +387,6 @@ def test_pipeline_stages(spark, sf):
     for i, t in rows.items():
         last[low(t)] = max(i, last.get(low(t), -1))
     assert {r["doc_id"] for r in b.collect()} == {i for t, i in last.items() if any(c.isalpha() for c in t.decode())}
-    c = f["simhash_near_dedup"](spark, b, sf)
-    have = {r["doc_id"]: r["text"] for r in b.collect()}
-    wide = {i: simhash.fingerprint(t.encode(), 5, 4) for i, t in have.items()}
-    comp = dict(zip(wide, brute_components(list(wide.values()), list(wide), lambda x, y: sum((m ^ n).bit_count() for m, n in zip(x, y, strict=True)) <= simhash.WIDE_RADIUS), strict=True))
-    kept = {r["doc_id"] for r in c.collect()}
-    assert set(comp.values()) <= kept and len(kept) <= len(set(comp.values())) + 3
-    d = f["substring_dedup"](spark, c, sf)
-    assert d.columns == docs.columns
-    want = {r[0]: r[3] for r in brute_removed([(r["doc_id"], r["text"]) for r in c.collect()])}
-    assert {r["doc_id"]: hashlib.sha256(" ".join(words(r["text"])).encode()).hexdigest() for r in d.collect()} == want
-    e = f["best_fit_packing"](spark, d, sf)
-    assert {r["doc_id"] for r in e.select("doc_id").distinct().collect()} == set(want)
 
 
 def test_pipeline_stages_against_jaccard(spark, sf):
