@@ -471,7 +471,9 @@ def similar_edges(df: DataFrame, groups: DataFrame, text_col: str, shingle: int,
 
     rows = materialize(map_text(rows, "text", f, "text_hash long, root long, n long, grams binary"))
     hot = rows.groupBy("root").agg(F.sum("n").alias("s")).where(F.col("s") > most).select(F.col("root").alias("r"), F.ceil(F.col("s") / most).cast("int").alias("c"))
-    rows = rows.join(hot, F.col("root") == F.col("r"), "left").withColumn("c", F.coalesce("c", F.lit(1)))
+    # Roots of over `most` shingles are few; broadcast, they leave the sets of shingles where they are until the one deal below.
+    hot = materialize(hot)
+    rows = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot, F.col("root") == F.col("r"), "left").withColumn("c", F.coalesce("c", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("text_hash"), F.col("c")).cast("int"))
     rows = rows.select("root", "text_hash", "grams", "c", "own", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("other")).where("c = 1 OR own <> other")
     rows = rows.select("root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "text_hash", "grams")
