@@ -121,9 +121,9 @@ def code_fence(content: Column) -> Column:
 
 
 def formula_body(content: Column) -> Column:
-    """Without the outer $$ of a displayed formula."""
+    """Without the outer $$ of a displayed formula; at its end a longer run of dollars is text, so it closes none."""
     t = F.trim(content)
-    return F.when(t.rlike(r"(?s)^\$\$.*\$\$$") & (F.length(t) >= 4), F.trim(F.regexp_replace(t, r"(?s)^\$\$|\$\$$", ""))).otherwise(t)
+    return F.when(t.rlike(r"(?s)^\$\$(?:.*[^$])?\$\$\z"), F.trim(F.regexp_replace(t, r"(?s)^\$\$|\$\$$", ""))).otherwise(t)
 
 
 def strip_tags(latex: Column) -> Column:
