@@ -23,8 +23,10 @@ def _docs(spark, sf_dir):
 
 
 def normalized_prose(spark, sf_dir):
-    f = folds.text_udf(lambda t: folds.normalize_prose(t, True), "string")
-    return _docs(spark, sf_dir).select("doc_id", F.sha2(f(F.concat(F.lit(" ﬁrst² ﬅ a‐b−c—d e f\n"), "text")), 256).alias("digest"))
+    """Whole texts after a line of their own; a blank text leaves that line and the blank behind it."""
+    line = " ﬁrst² ﬅ a‐b−c—d e f\n"
+    f = folds.text_udf(lambda t: " ".join(folds.normalize_prose(x, True) for x in (line, t)), "string")
+    return _docs(spark, sf_dir).select("doc_id", F.sha2(f(F.col("text")), 256).alias("digest"))
 
 
 def rejoined_words(spark, sf_dir):
