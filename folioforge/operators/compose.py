@@ -11,35 +11,40 @@ from folioforge.operators import geometry as G
 from folioforge.operators import tables
 from folioforge.operators.audit import crop_name, is_visual
 from folioforge.operators.classify import garble, token_core
-from folioforge.plans.session import reuse
 from folioforge.sources.tables import WORDS, table, words
 
 
-def noise(rows: DataFrame, kinds: DataFrame, page: list[str], height: float) -> DataFrame:
-    """Adds noise: header_footer for words of lines in the bands that look like running headers or number rows, line_number for numbers
-    at the gutter of body pages, else null. Judged on the words' own places, so a second reading of a page can be checked alone."""
-    marked = G.strip_bands(rows, page, height).join(kinds.select(*page, "kind", "gutter"), page)
-    number = (F.col("kind") == "SPEC_BODY") & G.is_line_number(F.col("word"), (F.col("x0") + F.col("x1")) / 2, F.col("gutter"))
-    return reuse(marked.withColumn("noise", F.when(F.col("removed"), "header_footer").when(number, "line_number")).drop("removed"))
+def noise(rows: DataFrame, doc: str, page: str, height: float, width: float) -> DataFrame:
+    """Pages of words: doc, page, kind, gutter, and words, an array with the noise of each: header_footer for words of lines in the bands
+    that look like running headers or number rows, line_number for numbers at the gutter of body pages, else null. Judged on the
+    words' own places, so a second reading of a page can be checked alone."""
+    pages = G.strip_bands(G.page_kinds(rows, [doc], page, width, G.packed_words().alias("words"), G.median_height().alias("_h")), height)
+    number = lambda w: (F.col("kind") == "SPEC_BODY") & G.is_line_number(w["word"], (w["x0"] + w["x1"]) / 2, F.col("gutter"))
+    told = lambda w, removed: F.when(F.array_contains(removed, w["ix"]), "header_footer").when(number(w), "line_number")
+    marked = G.bound(F.col("removed"), lambda removed: F.transform("words", lambda w: F.struct(*(w[c].alias(c) for c in G.WORD), told(w, removed).alias("noise"))))
+    return pages.select(doc, page, "kind", "gutter", marked.alias("words"))
 
 
-def column_lines(body: DataFrame, page: list[str], by_column: bool = True) -> DataFrame:
-    """Lines of a page's words, by column on request: page, col, line_no, text, x0, y, and the widths and heights they were judged by."""
-    per = G.medians(body, page).select(*page, F.col("char_width").alias("_cw"), F.col("height").alias("_h"))
-    xc = (F.col("x0") + F.col("x1")) / 2
-    rows = body.join(per, page).withColumn("col", G.column_of(xc, F.col("gutter")) if by_column else F.lit("L"))
-    key = [*page, "col"]
-    rows = reuse(rows.join(G.group_lines(rows, key, F.col("_h") * G.LINE_SHARE), [*key, "ix"]))
-    place = rows.groupBy(*key, "line").agg(F.median((F.col("y0") + F.col("y1")) / 2).alias("y"), F.first("_h").alias("line_height"))
-    text = G.join_lines(rows, [*key, "line"], F.greatest(F.lit(G.SPACE), F.col("_cw") * G.SPACE_SHARE))
-    wide = G.medians(rows, key).select(*key, "char_width")
-    return text.drop("y0").join(place, [*key, "line"]).join(wide, key).withColumnRenamed("line", "line_no")
+def column_lines(pages: DataFrame, page: list[str], by_column: bool = True) -> DataFrame:
+    """Lines of pages' words without noise, by column on request: page, col, line_no, text, x0, y, and the widths and heights they were
+    judged by."""
+    own = pages.select(*page, "gutter", F.filter("words", lambda w: w["noise"].isNull()).alias("words"))
+    own = own.select("*", G.char_width(F.col("words")).alias("_cw"), G.word_height(F.col("words")).alias("line_height"))
+    side = lambda w: G.column_of((w["x0"] + w["x1"]) / 2, F.col("gutter"))
+    part = lambda c: F.struct(F.lit(c).alias("col"), F.filter("words", lambda w: side(w) == c).alias("w"))
+    parts = F.array(part("L"), part("R")) if by_column else F.array(F.struct(F.lit("L").alias("col"), F.col("words").alias("w")))
+    cols = own.select(*page, "_cw", "line_height", F.inline(parts)).where(F.size("w") > 0)
+    lines = G.in_lines(cols.withColumn("char_width", G.char_width(F.col("w"))), {"w": "lines"}, F.col("line_height") * G.LINE_SHARE)
+    told = F.transform("lines", lambda line: F.struct(
+        G.line_text(line, F.greatest(F.lit(G.SPACE), F.col("_cw") * G.SPACE_SHARE)).alias("text"), F.get(line, F.lit(0))["x0"].alias("x0"), G.middle(F.transform(line, G.centre)).alias("y")))
+    return lines.select(*page, "col", "char_width", "line_height", F.posexplode(told).alias("line_no", "l")).select(*page, "col", "line_no", "l.*", "char_width", "line_height")
 
 
-def body_paragraphs(rows: DataFrame, page: list[str]) -> DataFrame:
-    """Paragraphs of body pages, left column before right: page, col, para, text, lines, new_by."""
-    body = rows.where("kind = 'SPEC_BODY' AND noise IS NULL")
-    return G.paragraphs(column_lines(body, page), [*page, "col"], F.col("char_width"), F.col("line_height"))
+def body_paragraphs(pages: DataFrame, page: list[str]) -> DataFrame:
+    """Paragraphs of body pages, left column before right: page, col, para, text, lines, new_by. Lines are dealt by document, where its
+    paragraphs meet."""
+    lines = column_lines(pages.where("kind = 'SPEC_BODY'"), page).repartition(page[0])
+    return G.paragraphs(lines, [*page, "col"], F.col("char_width"), F.col("line_height"))
 
 
 def body_texts(paras: DataFrame, doc: str, page: str) -> DataFrame:
@@ -48,11 +53,11 @@ def body_texts(paras: DataFrame, doc: str, page: str) -> DataFrame:
     return merged.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("merged", "text"))), lambda m: m["text"]), "\n\n").alias("body"))
 
 
-def front_texts(rows: DataFrame, doc: str, page: str) -> DataFrame:
+def front_texts(pages: DataFrame, doc: str, page: str) -> DataFrame:
     """Each document's front pages, line by line, blank lines between pages."""
-    lines = column_lines(rows.where("kind = 'FRONT_MATTER' AND noise IS NULL"), [doc, page], by_column=False)
-    pages = lines.groupBy(doc, page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n").alias("t"))
-    return pages.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(page, "t"))), lambda x: x["t"]), "\n\n").alias("front"))
+    lines = column_lines(pages.where("kind = 'FRONT_MATTER'"), [doc, page], by_column=False).repartition(doc)
+    texts = lines.groupBy(doc, page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n").alias("t"))
+    return texts.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(page, "t"))), lambda x: x["t"]), "\n\n").alias("front"))
 
 
 #: Notices where claims were found but have no numbers, and where none were found.
@@ -89,9 +94,8 @@ def compose_documents(rows: DataFrame, metas: DataFrame, doc: str, page: str, he
     """Words (doc, page, ix, word, box) and metas (doc, number, title, inventors, assignee, date, classes, topic, source, abstract) to
     Markdown, one row a document. known is the dictionary for words broken at line ends."""
     key = [doc, page]
-    kinds = reuse(G.page_kinds(rows, [doc], page, width))
-    marked = noise(rows, kinds, key, height)
-    sheets = kinds.where("kind = 'FIGURE'").groupBy(doc).agg(F.array_sort(F.collect_list(page)).alias("_s"))
+    marked = noise(rows, doc, page, height, width)
+    sheets = G.page_kinds(rows, [doc], page, width).where("kind = 'FIGURE'").groupBy(doc).agg(F.array_sort(F.collect_list(page)).alias("_s"))
     out = metas.join(body_texts(body_paragraphs(marked, key), doc, page), doc, "left").join(front_texts(marked, doc, page), doc, "left").join(sheets, doc, "left")
     out = out.withColumn("figures", F.transform(F.coalesce("_s", F.array().cast("array<int>")), lambda p: F.format_string("%s_artifacts/page_%04d.png", F.col("number"), p + 1)))
     names = ("number", "title", "inventors", "assignee", "date", "classes", "topic", "source", "abstract")
@@ -212,13 +216,13 @@ def _typeset(spark, sf_dir) -> DataFrame:
 
 
 def _marked(spark, sf_dir):
-    rows = _typeset(spark, sf_dir)
-    return noise(rows, reuse(G.page_kinds(rows, ["doc_id"], "page", 612.0)), PAGE, 792.0)
+    return noise(_typeset(spark, sf_dir), *PAGE, 792.0, 612.0)
 
 
 def noise_words(spark, sf_dir):
-    out = _marked(spark, sf_dir)
-    return out.groupBy(*PAGE, "kind").agg(F.count_if(F.col("noise") == "header_footer").alias("header_footer"), F.count_if(F.col("noise") == "line_number").alias("line_number"), F.count_if(F.col("noise").isNull()).alias("kept"))
+    n = lambda words, kind: F.size(F.filter(words, lambda w: w["noise"].eqNullSafe(kind))).cast("long").alias(kind or "kept")
+    counts = G.bound(F.col("words"), lambda ws: F.struct(*(n(ws, kind) for kind in ("header_footer", "line_number", None))))
+    return _marked(spark, sf_dir).select(*PAGE, "kind", counts.alias("n")).select(*PAGE, "kind", "n.*")
 
 
 def page_paragraphs(spark, sf_dir):

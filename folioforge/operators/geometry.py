@@ -8,7 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.plans.session import reuse
 from folioforge.sources.tables import WORDS, table, words
 
 #: Fixed values of the layout: bands of the page height, ladder of line numbers, columns.
@@ -24,20 +23,55 @@ MARK = r"^[^\p{L}\p{N}]$"
 LINE_SHARE, GAP_SHARE, INDENT, SPACE, SPACE_SHARE, BAND_SPACE = 0.30, 1.7, 2.5, 1.5, 0.55, 2.0
 
 
-def strip_bands(df: DataFrame, page: list[str], height: float, header: str = RUNNING_HEADER) -> DataFrame:
-    """Adds `removed`: whole lines of the header and footer zones that look like running headers or number rows.
+#: A page's words as one array, in any order; all that is told of a page is told in its one row, so nothing else is shuffled.
+WORD = ("ix", "word", "x0", "y0", "x1", "y1")
+
+
+def packed_words() -> Column:
+    return F.collect_list(F.struct(*WORD))
+
+
+def bound(value: Column, f) -> Column:
+    """f of a value that is computed once, though f reads it in a function of many elements."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def centre(w: Column) -> Column:
+    return (w["y0"] + w["y1"]) / 2
+
+
+def in_lines(pages: DataFrame, arrays: dict[str, str], tolerance: Column) -> DataFrame:
+    """Adds, for each array of words (name: new name), its lines as arrays of words by place: those of group_lines()."""
+
+    @F.arrow_udf("array<struct<at: int, n: int>>")
+    def runs(centres: pa.Array, tolerances: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+        return by_slices(lambda ys, t: line_runs(ys, t), kind, centres, tolerances)
+
+    rising = lambda c: F.transform(F.sort_array(F.transform(c, lambda w: F.struct(centre(w).alias("y"), w["ix"].alias("ix"), w.alias("w")))), lambda x: x["w"])
+    pages = pages.select("*", *(rising(F.col(a)).alias(f"_r_{b}") for a, b in arrays.items()))
+    pages = pages.select("*", *(runs(F.transform(f"_r_{b}", centre), tolerance.cast("double")).alias(f"_n_{b}") for b in arrays.values()))
+    by_place = lambda c: F.transform(F.sort_array(F.transform(c, lambda w: F.struct(w["x0"].alias("x"), w["ix"].alias("ix"), w.alias("w")))), lambda x: x["w"])
+    lines = lambda b: F.transform(f"_n_{b}", lambda r: by_place(F.slice(F.col(f"_r_{b}"), r["at"] + 1, r["n"])))
+    return pages.select("*", *(lines(b).alias(b) for b in arrays.values())).drop(*(f"_{k}_{b}" for k in "rn" for b in arrays.values()))
+
+
+def line_text(line: Column, threshold: Column) -> Column:
+    """A line's words, in order of place, with the separators of space_between()."""
+    return F.array_join(F.transform(line, lambda w, i: F.concat(space_between(w["word"], F.get(line, i - 1)["word"], w["x0"] - F.get(line, i - 1)["x1"], threshold), w["word"])), "")
+
+
+def strip_bands(pages: DataFrame, height: float, header: str = RUNNING_HEADER) -> DataFrame:
+    """Of pages with `words` and their median height `_h`: adds `removed`, the ix of the words of whole lines of the header and footer zones
+    that look like running headers or number rows.
 
     Lines are those of group_lines inside a zone, with a tolerance of 0.30 of the page's median word height.
     """
-    yc = (F.col("y0") + F.col("y1")) / 2
-    rows = df.withColumn("zone", F.when(yc < HEADER * height, "head").when(yc > FOOTER * height, "foot"))
-    edge = rows.where("zone IS NOT NULL").join(medians(df, page).select(*page, (F.col("height") * LINE_SHARE).alias("_tol")), page)
-    zone = [*page, "zone"]
-    edge = reuse(edge.join(group_lines(edge, zone, F.col("_tol")), [*zone, "ix"]))
-    text = join_lines(edge, [*zone, "line"], F.lit(BAND_SPACE)).withColumn("_t", F.trim("text"))
-    bad = text.where(F.col("_t").rlike(header) | F.col("_t").rlike(NUMBER_ROW)).select(*zone, "line", F.lit(True).alias("removed"))
-    marked = edge.join(bad, [*zone, "line"], "left").select(*df.columns, F.coalesce("removed", F.lit(False)).alias("removed"))
-    return marked.unionByName(rows.where("zone IS NULL").select(*df.columns, F.lit(False).alias("removed")))
+    zones = pages.select("*", F.filter("words", lambda w: centre(w) < HEADER * height).alias("_head"), F.filter("words", lambda w: (centre(w) > FOOTER * height) & ~(centre(w) < HEADER * height)).alias("_foot"))
+    zones = in_lines(zones, {"_head": "_hl", "_foot": "_fl"}, F.col("_h") * LINE_SHARE)
+    told = F.transform(F.concat("_hl", "_fl"), lambda line: F.struct(F.trim(line_text(line, F.lit(BAND_SPACE))).alias("t"), F.transform(line, lambda w: w["ix"]).alias("ix")))
+    bad = F.filter(told, lambda x: x["t"].rlike(header) | x["t"].rlike(NUMBER_ROW))
+    return zones.withColumn("removed", F.flatten(F.transform(bad, lambda x: x["ix"]))).drop("_head", "_foot", "_hl", "_fl")
 
 
 def is_line_number(word: Column, xc: Column, gutter: Column) -> Column:
@@ -48,34 +82,60 @@ def column_of(xc: Column, gutter: Column) -> Column:
     return F.when(xc < gutter, "L").otherwise("R")
 
 
-def page_kinds(df: DataFrame, page: list[str], index: str, width: float) -> DataFrame:
+def page_kinds(df: DataFrame, page: list[str], index: str, width: float, *more: Column) -> DataFrame:
     """Ordered page rule over word counts, the ladder of line numbers and the page's text.
 
-    The gutter is the median centre of the ladder, else the page's centre; ladder_x holds the ladder's centres in order.
+    The gutter is the median centre of the ladder, else the page's centre; ladder_x holds the ladder's centres in order. more:
+    aggregates to be had in the same pass.
     """
     xc = (F.col("x0") + F.col("x1")) / 2
     centre = F.lit(width / 2)
     number = F.when(F.col("word").rlike("^[0-9]{1,9}$"), F.col("word").cast("int"))
     ladder = (number % 5 == 0) & number.between(5, LADDER_TOP) & (F.abs(xc - centre) <= LADDER_HALF)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("ix", "word"))), lambda s: s["word"])
-    sums = df.groupBy(*page, index).agg(F.count(F.lit(1)).cast("long").alias("n"), F.array_sort(F.collect_list(F.when(ladder, xc))).alias("ladder_x"), F.median(F.when(ladder, xc)).alias("_g"), F.collect_list(xc).alias("_x"), ordered.alias("_w"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("ix", "word"))), lambda s: s["word"])
+    sums = df.groupBy(*page, index).agg(F.count(F.lit(1)).cast("long").alias("n"), F.sort_array(F.collect_list(F.when(ladder, xc))).alias("ladder_x"), F.median(F.when(ladder, xc)).alias("_g"), F.collect_list(xc).alias("_x"), ordered.alias("_w"), *more)
+    names = [c for c in sums.columns if c not in (*page, index, "n", "ladder_x", "_g", "_x", "_w")]
     sums = sums.withColumn("ladder", F.size("ladder_x").cast("long")).withColumn("gutter", F.coalesce("_g", centre)).withColumn("_t", F.array_join("_w", " "))
     beside = lambda f: F.size(F.filter("_x", f)) >= COLUMN_WORDS
     body = (F.col("ladder") >= LADDER) | ((F.col("ladder") >= LADDER_WEAK) & beside(lambda x: x < F.col("gutter") - 20) & beside(lambda x: x > F.col("gutter") + 20))
     front = F.array_join(F.slice("_w", 1, 15), " ").rlike(r"\bPage\s+\p{Nd}")
     kind = F.when(F.col(index) == 0, "COVER").when(front, "FRONT_MATTER").when(body, "SPEC_BODY").when(F.col("_t").rlike(SHEET) | (F.col("n") < FIGURE_WORDS), "FIGURE").otherwise("FRONT_MATTER")
-    return sums.select(*page, index, "n", "ladder", "ladder_x", "gutter", kind.alias("kind"))
+    return sums.select(*page, index, "n", "ladder", "ladder_x", "gutter", kind.alias("kind"), *names)
 
 
 def medians(df: DataFrame, page: list[str]) -> DataFrame:
     """Exact medians of character width (letters only, three or more) and of height, with defaults 6 and 10."""
-    wide = F.when(F.col("word").rlike(r"^\p{L}{3,}$"), (F.col("x1") - F.col("x0")) / F.length("word"))
-    return df.groupBy(*page).agg(F.coalesce(F.median(wide), F.lit(6.0)).alias("char_width"), F.coalesce(F.median(F.when(F.col("y1") > F.col("y0"), F.col("y1") - F.col("y0"))), F.lit(10.0)).alias("height"))
+    wide = F.when(F.col("word").rlike(LETTERS), (F.col("x1") - F.col("x0")) / F.length("word"))
+    return df.groupBy(*page).agg(F.coalesce(F.median(wide), F.lit(6.0)).alias("char_width"), median_height().alias("height"))
+
+
+#: Fixed value: words whose width tells that of a character.
+LETTERS = r"^\p{L}{3,}$"
+
+
+def median_height() -> Column:
+    return F.coalesce(F.median(F.when(F.col("y1") > F.col("y0"), F.col("y1") - F.col("y0"))), F.lit(10.0))
+
+
+def middle(xs: Column) -> Column:
+    """Exact median of an array."""
+    half = lambda s, k: F.get(s, F.floor((F.size(s) - k) / 2).cast("int"))
+    return bound(F.sort_array(xs), lambda s: (half(s, 1) + half(s, 0)) / 2)
+
+
+def char_width(ws: Column) -> Column:
+    """That of medians(), of an array of words."""
+    return F.coalesce(middle(F.transform(F.filter(ws, lambda w: w["word"].rlike(LETTERS)), lambda w: (w["x1"] - w["x0"]) / F.length(w["word"]))), F.lit(6.0))
+
+
+def word_height(ws: Column) -> Column:
+    """That of medians(), of an array of words."""
+    return F.coalesce(middle(F.transform(F.filter(ws, lambda w: w["y1"] > w["y0"]), lambda w: w["y1"] - w["y0"])), F.lit(10.0))
 
 
 def height_split(df: DataFrame, page: list[str], height: Column) -> DataFrame:
     """Heights at index n/10 and n/2 of their sorted order (not interpolated), and whether they are bimodal."""
-    h = F.array_sort(F.collect_list(height))
+    h = F.sort_array(F.collect_list(height))
     out = df.groupBy(*page).agg(h.alias("h")).withColumn("p10", F.element_at("h", F.expr("cast(size(h) div 10 + 1 as int)"))).withColumn("p50", F.element_at("h", F.expr("cast(size(h) div 2 + 1 as int)")))
     return out.select(*page, "p10", "p50", (F.col("p50") / F.col("p10") >= 1.3).alias("bimodal"), F.size(F.filter("h", lambda x: x >= F.col("p10") * 1.6)).alias("tall"))
 
@@ -92,6 +152,22 @@ def line_numbers(centres: list[float], tolerance: float) -> list[int]:
     return out
 
 
+def line_runs(centres: list[float], tolerance: float) -> list[dict]:
+    """Where each line of line_numbers() starts, and how many words it has."""
+    out: list[dict] = []
+    for i, line in enumerate(line_numbers(centres, tolerance)):
+        if line == len(out):
+            out.append({"at": i, "n": 0})
+        out[-1]["n"] += 1
+    return out
+
+
+def by_slices(f, kind: pa.DataType, *columns: pa.Array, rows: int = 256) -> pa.Array:
+    """f of each row, a few rows at a time as Python objects, so that a batch of whole pages stays in Arrow's memory."""
+    parts = [pa.array([f(*x) for x in zip(*(c.slice(i, rows).to_pylist() for c in columns), strict=True)], kind) for i in range(0, len(columns[0]), rows)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def group_lines(df: DataFrame, page: list[str], tolerance: Column) -> DataFrame:
     """Line number of each word of a page, ties in height by ix.
 
@@ -100,10 +176,10 @@ def group_lines(df: DataFrame, page: list[str], tolerance: Column) -> DataFrame:
 
     @F.arrow_udf("array<int>")
     def numbered(centres: pa.Array, tolerances: pa.Array) -> pa.Array:
-        return pa.array([line_numbers(ys, t) for ys, t in zip(centres.to_pylist(), tolerances.to_pylist(), strict=True)], pa.list_(pa.int32()))
+        return by_slices(line_numbers, pa.list_(pa.int32()), centres, tolerances)
 
     word = F.struct(((F.col("y0") + F.col("y1")) / 2).alias("yc"), "ix")
-    pages = df.groupBy(*page).agg(F.array_sort(F.collect_list(word)).alias("_w"), F.first(tolerance.cast("double")).alias("_tol"))
+    pages = df.groupBy(*page).agg(F.sort_array(F.collect_list(word)).alias("_w"), F.first(tolerance.cast("double")).alias("_tol"))
     lined = pages.select(*page, F.arrays_zip(F.col("_w.ix").alias("ix"), numbered(F.col("_w.yc"), F.col("_tol")).alias("line")).alias("_l"))
     return lined.select(*page, F.inline("_l"))
 
@@ -120,7 +196,7 @@ def space_between(word: Column, before: Column, gap: Column, threshold: Column)
 def join_lines(df: DataFrame, line: list[str], threshold: Column) -> DataFrame:
     w = Window.partitionBy(*line).orderBy("x0", "ix")
     rows = df.withColumn("_s", space_between(F.col("word"), F.lag("word").over(w), F.col("x0") - F.lag("x1").over(w), threshold))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("x0", "ix", F.concat("_s", "word").alias("t")))), lambda s: s["t"])
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("x0", "ix", F.concat("_s", "word").alias("t")))), lambda s: s["t"])
     return rows.groupBy(*line).agg(F.array_join(parts, "").alias("text"), F.min("x0").alias("x0"), F.min("y0").alias("y0"))
 
 
@@ -132,17 +208,17 @@ def paragraphs(lines: DataFrame, key: list[str], char_width: Column, line_height
     lower case.
     """
     w = Window.partitionBy(*key).orderBy("line_no")
-    margin = lines.groupBy(*key).agg(F.array_sort(F.collect_list("x0")).alias("_m")).select(*key, F.element_at("_m", F.expr("cast(size(_m) div 10 + 1 as int)")).alias("_margin"))
+    lines = lines.withColumn("_m", F.sort_array(F.collect_list("x0").over(Window.partitionBy(*key)))).withColumn("_margin", F.element_at("_m", F.expr("cast(size(_m) div 10 + 1 as int)"))).drop("_m")
     indent = F.col("x0") > F.col("_margin") + F.greatest(F.lit(INDENT), char_width)
     gap = F.coalesce(F.col("y") - F.lag("y").over(w) > GAP_SHARE * line_height, F.lit(False))
-    rows = lines.join(margin, key).withColumn("_by", F.when(indent, "indent").when(gap, "gap").when(F.lag("y").over(w).isNull(), "first"))
+    rows = lines.withColumn("_by", F.when(indent, "indent").when(gap, "gap").when(F.lag("y").over(w).isNull(), "first"))
     rows = rows.withColumn("para", F.sum(F.when(F.col("_by").isNotNull(), 1).otherwise(0)).over(w))
     soft = (F.lag("para").over(w) == F.col("para")) & F.lag("text").over(w).rlike(r"\p{L}-$") & F.col("text").rlike(r"^\p{Ll}")
     rows = rows.withColumn("_soft", F.coalesce(soft, F.lit(False)))
     cut = F.when(F.coalesce(F.lead("_soft").over(w), F.lit(False)), F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
     start = F.lag("para").over(w).isNull() | (F.lag("para").over(w) != F.col("para"))
     rows = rows.withColumn("_t", F.concat(F.when(F.col("_soft") | start, "").otherwise(" "), cut))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "_t"))), lambda s: s["_t"])
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "_t"))), lambda s: s["_t"])
     return rows.groupBy(*key, "para").agg(F.array_join(parts, "").alias("text"), F.count(F.lit(1)).alias("lines"), F.max("_by").alias("new_by"))
 
 
@@ -162,7 +238,7 @@ def merge_continuations(paras: DataFrame, key: list[str], order: list[str]) -> D
     rows = rows.withColumn("_end", F.lead("merged").over(w))
     text = F.when(F.col("_new") == 0, F.ltrim("text")).otherwise(F.col("text"))
     text = F.when(F.col("_end") == F.col("merged"), F.rtrim(text)).otherwise(text)
-    parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("_t")))), lambda s: s["_t"])
+    parts = F.transform(F.sort_array(F.collect_list(F.struct(*order, text.alias("_t")))), lambda s: s["_t"])
     return rows.groupBy(*key, "merged").agg(F.array_join(parts, " ").alias("text"), F.count(F.lit(1)).alias("pieces"))
 
 
@@ -201,7 +277,7 @@ def assign_words(df: DataFrame, blocks: DataFrame, page: list[str], threshold: f
 
 def block_at(points: DataFrame, blocks: DataFrame, page: list[str], slack: float = 1.0) -> DataFrame:
     """First block, in list order, around each point."""
-    packed = blocks.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("source_index", "x0", "y0", "x1", "y1"))).alias("_b"))
+    packed = blocks.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("source_index", "x0", "y0", "x1", "y1"))).alias("_b"))
     hit = lambda b: (F.col("px") >= b["x0"] - slack) & (F.col("px") <= b["x1"] + slack) & (F.col("py") >= b["y0"] - slack) & (F.col("py") <= b["y1"] + slack)
     found = F.filter("_b", hit)
     return points.join(packed, page, "left").select(*points.columns, F.try_element_at(found, F.lit(1))["source_index"].alias("source_index"))
@@ -210,7 +286,7 @@ def block_at(points: DataFrame, blocks: DataFrame, page: list[str], slack: float
 def merge_extras(fragments: DataFrame, extras: DataFrame, page: list[str]) -> DataFrame:
     """Final order of a page: an extra goes before the first fragment whose y0 is strictly greater, ties after; extras without
     y0 go last; fragments keep their order. Columns: page keys, pos or seq, y0, md."""
-    packed = fragments.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("pos", "y0"))).alias("_f"))
+    packed = fragments.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("pos", "y0"))).alias("_f"))
     after = F.try_element_at(F.filter("_f", lambda f: f["y0"] > F.col("y0")), F.lit(1))["pos"]
     placed = extras.join(packed, page, "left").select(*page, F.coalesce(F.when(F.col("y0").isNotNull(), after), F.lit(2147483647)).alias("slot"), F.lit(0).alias("is_fragment"), F.when(F.col("y0").isNull(), 1).otherwise(0).alias("tail"), F.col("y0"), F.col("seq"), "md")
     base = fragments.select(*page, F.col("pos").alias("slot"), F.lit(1).alias("is_fragment"), F.lit(0).alias("tail"), "y0", F.lit(0).cast("long").alias("seq"), "md")
@@ -220,7 +296,7 @@ def merge_extras(fragments: DataFrame, extras: DataFrame, page: list[str]) -> Da
 
 def insertion_anchor(targets: DataFrame, ordered: DataFrame, page: list[str]) -> DataFrame:
     """Predecessor (largest centre not past the target) and successor (smallest centre past it); none if their order is not monotone."""
-    packed = ordered.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("centre", "pos"))).alias("_o"))
+    packed = ordered.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("centre", "pos"))).alias("_o"))
     rows = targets.join(packed, page, "left")
     before = F.array_max(F.filter("_o", lambda o: o["centre"] <= F.col("centre")))
     after = F.array_min(F.filter("_o", lambda o: o["centre"] > F.col("centre")))
@@ -259,8 +335,9 @@ def _banded(spark, sf_dir):
 
 
 def band_strip(spark, sf_dir):
-    rows = strip_bands(_banded(spark, sf_dir), ["doc_id", "page"], 792.0)
-    return rows.groupBy("doc_id", "page").agg(F.count_if("removed").alias("removed"), F.count_if(~F.col("removed")).alias("kept"))
+    pages = _banded(spark, sf_dir).groupBy("doc_id", "page").agg(packed_words().alias("words"), median_height().alias("_h"))
+    removed = F.size("removed").cast("long")
+    return strip_bands(pages, 792.0).select("doc_id", "page", removed.alias("removed"), (F.size("words") - removed).alias("kept"))
 
 
 def _ladder(spark, sf_dir):

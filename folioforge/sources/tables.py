@@ -26,9 +26,20 @@ DAMAGED = """CASE doc_id % 7 WHEN 0 THEN replace(text, 'e', '') WHEN 1 THEN subs
  WHEN 2 THEN text || substr(text, 1, 40) ELSE text END"""
 
 
+#: Fixed value: bytes of files that one part of a table dealt by document holds.
+PART = 4 << 20
+
+
+def by_document(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents dealt by their key, before they become many rows: pages, lines and joins of a document's rows then need no further
+    shuffle. The number of parts follows the size of the files."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return docs.repartition(max(1, min(-(-size // PART), 20000)), key)
+
+
 def words(docs: DataFrame) -> DataFrame:
     """doc_id, ix, word, page, line_no, x0, x1, y0, y1: tokens laid out 12 a line, 50 lines a page of 612 x 792."""
-    out = docs.select("doc_id", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")), " ")).alias("ix", "word")).where("word <> ''")
+    out = by_document(docs.select("doc_id", "text")).select("doc_id", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")), " ")).alias("ix", "word")).where("word <> ''")
     return out.select(
         "doc_id", "ix", "word", F.expr("ix div 600").cast("int").alias("page"), F.expr("(ix % 600) div 12").cast("int").alias("line_no"),
         (72.0 + (F.col("ix") % 12) * 40).alias("x0"), (102.0 + (F.col("ix") % 12) * 40).alias("x1"),
