@@ -62,11 +62,13 @@ def reuse_or_recompute(pages: DataFrame, prior: DataFrame, keys: list[str]) -> D
 
 
 def resolve_owner(refs: DataFrame, fragments: DataFrame, page: list[str]) -> DataFrame:
-    """The one span a block resolves to, or blocker:unlocatable_md_owner."""
-    flat = fragments.select(*page, F.explode("block_ids").alias("block_id"), "span_start", "span_end")
-    spans = refs.join(flat, [*page, "block_id"], "left").groupBy(*page, "block_id").agg(F.count_distinct(F.when(F.col("span_start").isNotNull(), F.struct("span_start", "span_end"))).alias("n"), F.min("span_start").alias("a"), F.max("span_end").alias("b"))
-    one = F.col("n") == 1
-    return spans.select(*page, "block_id", F.when(one, F.col("a")).alias("span_start"), F.when(one, F.col("b")).alias("span_end"), F.when(one, "ok").otherwise("blocker:unlocatable_md_owner").alias("route"))
+    """The one span a block resolves to, or blocker:unlocatable_md_owner. Asked blocks and spans meet in one aggregate of fixed size a
+    block: there is one span where the least and the greatest are the same."""
+    spans = fragments.select(*page, F.explode("block_ids").alias("block_id"), F.col("span_start").alias("a"), F.when(F.col("span_start").isNotNull(), F.col("span_end")).alias("b"), F.lit(0).alias("asked"))
+    both = spans.unionByName(refs.select(*page, "block_id", F.lit(1).alias("asked")), allowMissingColumns=True)
+    sums = both.groupBy(*page, "block_id").agg(F.max("asked").alias("asked"), F.min("a").alias("a"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b"), F.count("a").alias("n"), F.count("b").alias("m"))
+    one = F.coalesce((F.col("a") == F.col("a1")) & F.when(F.col("m") > 0, (F.col("n") == F.col("m")) & (F.col("b0") == F.col("b"))).otherwise(True), F.lit(False))
+    return sums.where("asked = 1").select(*page, "block_id", F.when(one, F.col("a")).alias("span_start"), F.when(one, F.col("b")).alias("span_end"), F.when(one, "ok").otherwise("blocker:unlocatable_md_owner").alias("route"))
 
 
 def merge_candidates(hits: DataFrame, keys: list[str], order: str) -> DataFrame:
