@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from folioforge.functions import folds
 from folioforge.sources.tables import table
@@ -23,6 +24,11 @@ STRUCTURE = frozenset("table thead tbody tfoot tr td th caption colgroup col".sp
 PICTURES = frozenset(("img", "svg", "canvas", "chart"))
 
 
+_TOKEN = re.compile(r"<(/?)(" + "|".join(sorted(STRUCTURE, key=len, reverse=True)) + r")((?: (?:row|col)span=[0-9]+)*)>|([^<&$]+)")
+_PLAIN = re.compile(r"(?:<(?:/(?:" + "|".join(STRUCTURE) + r")|(?:" + "|".join(STRUCTURE) + r")(?: (?:row|col)span=[0-9]+)*)>|[^<&$\r\0]++)*+")
+_ATTRIBUTE = re.compile(r"((?:row|col)span)=([0-9]+)")
+
+
 @dataclass
 class Table:
     """Cells (row, col, rowspan, colspan, header, text) of the first table, and what else its markup held."""
@@ -51,6 +57,20 @@ class _Reader(HTMLParser):
     def inside(self) -> bool:
         return self.depth == 1 and self.out.roots == 1
 
+    def plain(self, html: str) -> bool:
+        """Reads markup of structural tags and text without entities or dollars directly, which takes a fraction of the general
+        reader's time; tells whether it could."""
+        if not _PLAIN.fullmatch(html):
+            return False
+        for slash, tag, attrs, text in _TOKEN.findall(html):
+            if text:
+                self.handle_data(text)
+            elif slash:
+                self.handle_endtag(tag)
+            else:
+                self.handle_starttag(tag, _ATTRIBUTE.findall(attrs) if attrs else ())
+        return True
+
     def end_row(self) -> None:
         if self.row is not None:
             self.rows.append(self.row)
@@ -119,8 +139,9 @@ def _span(given: dict, name: str) -> int:
 def parse(html: str | None) -> Table:
     """The first table by the next-free-column rule. A less-than sign inside inline math is text. Never raises for its input."""
     reader = _Reader()
-    reader.feed(re.sub(r"(\$\$?)([^$]*)\1", lambda m: m[1] + m[2].replace("<", "&lt;") + m[1], html or ""))
-    reader.close()
+    if not reader.plain(html or ""):
+        reader.feed(re.sub(r"(\$\$?)([^$]*)\1", lambda m: m[1] + m[2].replace("<", "&lt;") + m[1], html or ""))
+        reader.close()
     reader.end_row()
     out = reader.out
     out.rows = len(reader.rows)
@@ -203,15 +224,19 @@ _PARSED = (
 _CELL, _PROBLEM = ("row", "col", "rowspan", "colspan", "header", "text"), ("code", "row", "col")
 
 
-def _described(html: str) -> dict:
-    t = parse(html)
-    return {"rows": t.rows, "cols": t.cols, "header_rows": t.header_rows, "roots": t.roots, "orphans": t.orphans, "pictures": t.pictures, "caption": t.caption, "markdown": pipes(t), "fingerprint": header_fingerprint(t),
-            "cells": [dict(zip(_CELL, x, strict=True)) for x in t.cells], "problems": [dict(zip(_PROBLEM, x, strict=True)) for x in problems(t)]}
+#: What each field of a parsed table is made of.
+_FIELDS = {
+    **{c: (lambda t, c=c: getattr(t, c)) for c in ("rows", "cols", "header_rows", "roots", "orphans", "pictures", "caption")}, "markdown": lambda t: pipes(t), "fingerprint": lambda t: header_fingerprint(t),
+    "cells": lambda t: [dict(zip(_CELL, x, strict=True)) for x in t.cells], "problems": lambda t: [dict(zip(_PROBLEM, x, strict=True)) for x in problems(t)],
+}
 
 
-def parsed(html: Column) -> Column:
-    """A table's grid, problems, Markdown and header fingerprint, in one parse; null stays null."""
-    return folds.text_udf(_described, _PARSED)(html)
+def parsed(html: Column, *fields: str) -> Column:
+    """A table's grid, problems, Markdown and header fingerprint, or only the fields named, in one parse; null stays null."""
+    chosen = {c: _FIELDS[c] for c in fields or _FIELDS}
+    kind = StructType([x for x in DataType.fromDDL(_PARSED) if x.name in chosen])
+    described = lambda text: (lambda t: {c: f(t) for c, f in chosen.items()})(parse(text))
+    return folds.text_udf(described, kind.simpleString())(html)
 
 
 #: Forms of numbers for the three explained differences.
@@ -267,26 +292,26 @@ def order_tables(spark, sf_dir) -> DataFrame:
     return rows.select("l_orderkey", F.concat(F.lit("<table>"), head, "t", F.lit("</table>"), tail).alias("html"))
 
 
-def _tables(spark, sf_dir):
-    return order_tables(spark, sf_dir).select("l_orderkey", parsed(F.col("html")).alias("t"))
+def _tables(spark, sf_dir, *fields: str):
+    return order_tables(spark, sf_dir).select("l_orderkey", parsed(F.col("html"), *fields).alias("t"))
 
 
 def table_grid(spark, sf_dir):
-    return _tables(spark, sf_dir).select("l_orderkey", F.inline("t.cells"))
+    return _tables(spark, sf_dir, "cells").select("l_orderkey", F.inline("t.cells"))
 
 
 def table_lint(spark, sf_dir):
-    rows = _tables(spark, sf_dir).select("l_orderkey", F.explode("t.problems").alias("p"))
+    rows = _tables(spark, sf_dir, "problems").select("l_orderkey", F.explode("t.problems").alias("p"))
     return rows.groupBy("l_orderkey", F.col("p.code").alias("problem")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def table_pipes(spark, sf_dir):
-    return _tables(spark, sf_dir).where("t.markdown IS NOT NULL").select("l_orderkey", "t.markdown")
+    return _tables(spark, sf_dir, "markdown").where("t.markdown IS NOT NULL").select("l_orderkey", "t.markdown")
 
 
 def table_headers(spark, sf_dir):
     """How many tables have one header fingerprint, and their first order."""
-    return _tables(spark, sf_dir).groupBy(F.col("t.fingerprint").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first"))
+    return _tables(spark, sf_dir, "fingerprint").groupBy(F.col("t.fingerprint").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first"))
 
 
 def _numbers(spark, sf_dir):
@@ -310,7 +335,7 @@ def table_statuses(spark, sf_dir):
     """Status of each order's table from its structure and its numbers; some have no source or a broken one."""
     source, output = _numbers(spark, sf_dir)
     content = reconcile_numbers(source, output, "l_orderkey").groupBy("l_orderkey").agg(F.sum("n").alias("c")).withColumnRenamed("l_orderkey", "k")
-    rows = _tables(spark, sf_dir).select("l_orderkey", F.col("t.pictures").alias("pictures"), F.size("t.problems").alias("problems")).join(content, F.col("l_orderkey") == F.col("k"), "left")
+    rows = _tables(spark, sf_dir, "pictures", "problems").select("l_orderkey", F.col("t.pictures").alias("pictures"), F.size("t.problems").alias("problems")).join(content, F.col("l_orderkey") == F.col("k"), "left")
     status = table_status(F.col("pictures") + F.when(F.col("l_orderkey") % 23 == 0, 1).otherwise(0), F.when(F.col("l_orderkey") % 29 == 0, 0).otherwise(5), F.col("l_orderkey") % 31 == 0, F.col("problems"), F.coalesce("c", F.lit(0)))
     return rows.select("l_orderkey", status.alias("status"))
 
