@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import folds
 from folioforge.functions import text as T
-from folioforge.sources.tables import DAMAGED, WORDS, damaged, table, words
+from folioforge.sources.tables import DAMAGED, WORDS, by_document, damaged, table, words
 
 #: A dictionary for rejoining: parts and wholes that the fixture splits.
 KNOWN = frozenset({"the", "connection", "set", "screw", "setscrew", "with", "in"})
@@ -70,11 +70,11 @@ def token_consumption(spark, sf_dir):
     """Words of whole texts against damaged copies; every twentieth word is noise, some words hold two tokens."""
 
     def f(batches):
-        for pdf in batches:
+        for pdf in (whole.iloc[i : i + folds.SLICE] for whole in batches for i in range(0, len(whole), folds.SLICE)):
             got = [folds.consume_tokens([(w, i % 20 == 7) for i, w in enumerate((a or "").split())], b or "", T.CLAIMS) for a, b in zip(pdf["text"], pdf["output"], strict=True)]
             yield pdf[["doc_id"]].assign(**{k: pd.Series([x[k] for x in got], index=pdf.index, dtype="int64") for k in ("noise", "matched", "merged", "marker", "unexplained")})
 
-    docs = _docs(spark, sf_dir).withColumn("output", damaged(F.col("text"), F.col("doc_id"))).withColumn("text", F.concat(F.lit("What is claimed is: zzq "), "text"))
+    docs = by_document(_docs(spark, sf_dir)).withColumn("output", damaged(F.col("text"), F.col("doc_id"))).withColumn("text", F.concat(F.lit("What is claimed is: zzq "), "text"))
     return docs.mapInPandas(f, "doc_id long, noise long, matched long, merged long, marker long, unexplained long")
 
 
@@ -106,7 +106,7 @@ def formula_suspicions(spark, sf_dir):
 def headings_marked(spark, sf_dir):
     f = folds.text_udf(lambda t: folds.mark_headings(folds.strip_title(t, "A METHOD")), "string")
     marked = F.concat(F.lit("A METHOD\n\nFIELD OF\n\nTHE INVENTION\n\nA DBS\n\n"), "text", F.lit("\n\nSUMMARY The end"))
-    return _docs(spark, sf_dir).select("doc_id", F.regexp_count(f(marked), F.lit("(?m)^## ")).alias("headings"))
+    return by_document(_docs(spark, sf_dir)).select("doc_id", F.regexp_count(f(marked), F.lit("(?m)^## ")).alias("headings"))
 
 
 def cover_records(spark, sf_dir):
