@@ -123,6 +123,13 @@ def default_gates(before: Column, after: Column) -> dict[str, Column]:
     return {"nonempty": F.length(F.trim(after)) > 0, "delimiters": odd(after) <= odd(before), "assets": hollow(after) <= hollow(before), "commands": commands(after) <= commands(before)}
 
 
+def failed_gate(reason: Column, before: Column, after: Column, gates) -> Column:
+    """The reason, else the first gate that fails."""
+    for name, holds in gates(before, after).items():
+        reason = reason.when(~holds, name)
+    return reason
+
+
 def apply_patches(docs: DataFrame, patches: DataFrame, key: str, gates=default_gates) -> DataFrame:
     """Text with non-overlapping [lo, hi) replacements, applied only if the baseline's hash holds and every gate passes: key, text,
     committed, reason (stale_baseline, or the first gate that fails).
@@ -135,9 +142,7 @@ def apply_patches(docs: DataFrame, patches: DataFrame, key: str, gates=default_g
     rows = rows.withColumn("_d", F.when(F.col("_h") == F.sha2("_t", 256), done))
     rows = rows.withColumn("_a", F.concat("_d.out", F.substring(F.col("_t"), F.col("_d.at") + 1, F.length("_t"))))
     reason = F.when(F.col("_h").isNull(), "no_patch").when(F.col("_a").isNull(), "stale_baseline")
-    for name, holds in gates(F.col("_t"), F.col("_a")).items():
-        reason = reason.when(~holds, name)
-    rows = rows.withColumn("reason", reason)
+    rows = rows.withColumn("reason", failed_gate(reason, F.col("_t"), F.col("_a"), gates))
     return rows.select(key, F.when(F.col("reason").isNull(), F.col("_a")).otherwise(F.col("_t")).alias("text"), F.col("reason").isNull().alias("committed"), "reason")
 
 
